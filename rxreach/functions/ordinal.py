@@ -1,21 +1,26 @@
-"""Global order statistics without funnelling rows into one task.
+"""Global order statistics without funnelling unbounded data into one task.
 
 ``RANK() OVER (ORDER BY x)`` and ``PERCENTILE_CONT`` are global: written as a
 plain window or as the ``percentile`` aggregate, Spark moves every row (or
 every distinct value) to a single task.  Both are computed here from a
-distributed histogram:
+histogram of the ordered value:
 
 1. ``groupBy(x).count()`` — one row per distinct value, partial-aggregated
-   map-side, so a value held by a third of all rows costs nothing extra;
-2. a range-partitioned sort of that histogram, each row tagged with its
-   partition id, saved with a *reliable* checkpoint (the partition layout of
-   a range sort depends on sampling, so it is frozen before it is used twice);
-3. per-partition weight totals (one row per partition: a proven bound, so it
-   is broadcast) give each partition's offset; a window *within* each
-   partition gives the rows before it.
-
-The result is, for every distinct value, the number of rows ordered strictly
-before it, from which ranks and interpolated percentiles follow exactly.
+   map-side, so a value held by a third of all rows costs nothing extra.  It
+   is saved with a reliable checkpoint (computed once, lineage cut) and its
+   size is counted.
+2. The number of rows strictly before each value is a running sum over the
+   sorted histogram:
+
+   * up to ``SINGLE_TASK_LIMIT`` distinct values (a checked bound): one
+     window over the histogram in a single task;
+   * beyond it: a range-partitioned sort of the histogram, each row tagged
+     with its partition id and checkpointed (a range sort's layout depends
+     on sampling, so it is frozen before it is read twice); per-partition
+     totals (one row per partition, broadcast) give each partition's offset
+     and a window *within* each partition gives the rest.
+
+Ranks and interpolated percentiles follow exactly from those counts.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+SINGLE_TASK_LIMIT = 1_000_000
+
 _PART = "_part"
 _W = "_w"
 BEFORE = "_before"
@@ -37,58 +44,69 @@ def _order(c: str, ascending: bool, nulls_first: bool) -> Column:
     return col.desc_nulls_first() if nulls_first else col.desc_nulls_last()
 
 
-def rows_before(hist: DataFrame, value: str, weight: str, ascending: bool = True,
-                nulls_first: bool = False) -> DataFrame:
-    """Add ``_before``: total ``weight`` of rows strictly earlier in the order.
+def histogram(df: DataFrame, value: str, drop_nulls: bool = False) -> tuple[DataFrame, int]:
+    """Checkpointed (value, _w) histogram and its number of rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    src = df.where(F.col(value).isNotNull()) if drop_nulls else df
+    hist = src.groupBy(value).agg(F.count(F.lit(1)).alias(_W)).checkpoint(eager=True)
+    return hist, hist.count()
 
-    ``hist`` must hold each ``value`` once (a histogram).
-    """
-    ensure_checkpoint_dir(hist.sparkSession)
+
+def _before(weight: str, window: Window) -> Column:
+    return F.coalesce(F.sum(weight).over(window.rowsBetween(Window.unboundedPreceding, -1)),
+                      F.lit(0))
+
+
+def rows_before(hist: DataFrame, size: int, value: str, weight: str = _W,
+                ascending: bool = True, nulls_first: bool = False,
+                limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+    """Add ``_before``: total ``weight`` of histogram rows strictly earlier."""
     order = _order(value, ascending, nulls_first)
+    if size <= limit:
+        # bounded by the check above: one task may hold it
+        return hist.withColumn(BEFORE, _before(weight, Window.orderBy(order)))
     tagged = (hist.orderBy(order)
                   .withColumn(_PART, F.spark_partition_id())
                   .checkpoint(eager=True))
     part_totals = tagged.groupBy(_PART).agg(F.sum(weight).alias("_part_weight"))
-    # one row per partition, so ordering them in one task is bounded
-    offsets = part_totals.select(
-        _PART,
-        F.coalesce(F.sum("_part_weight").over(
-            Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(_PART).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: ordering them in one task is bounded
+    offsets = part_totals.select(_PART, _before("_part_weight", Window.orderBy(_PART)).alias("_offset"))
     return (tagged.join(F.broadcast(offsets), _PART)
                   .withColumn(BEFORE, F.col("_offset")
-                              + F.coalesce(F.sum(weight).over(within), F.lit(0)))
+                              + _before(weight, Window.partitionBy(_PART).orderBy(order)))
                   .drop(_PART, "_offset"))
 
 
 def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = False,
-              nulls_first: bool = True) -> DataFrame:
+              nulls_first: bool = True, limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value ...)`` added as column ``out`` (INT).
 
-    Defaults follow the reference dialect for DESC: NULLs first.
+    Defaults follow the reference dialect for DESC: NULLs first.  ``df`` is
+    checkpointed first, as it is read twice (histogram and result).
     """
-    hist = df.groupBy(value).agg(F.count(F.lit(1)).alias(_W))
-    ranks = (rows_before(hist, value, _W, ascending, nulls_first)
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    hist, size = histogram(df, value)
+    ranks = (rows_before(hist, size, value, _W, ascending, nulls_first, limit)
              .select(F.col(value).alias("_rank_value"),
                      (F.col(BEFORE) + 1).cast("int").alias(out)))
     return (df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "inner")
               .drop("_rank_value"))
 
 
-def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile") -> DataFrame:
+def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile",
+                    limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
     """One-row frame: ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)``.
 
     Linear interpolation between the values at 0-based positions
     floor(p*(n-1)) and ceil(p*(n-1)); NULLs ignored; NULL on empty input.
     """
-    hist = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias(_W))
-    located = rows_before(hist, value, _W, ascending=True)
+    hist, size = histogram(df, value, drop_nulls=True)
+    located = rows_before(hist, size, value, _W, ascending=True, limit=limit)
     n = hist.agg(F.sum(_W).alias("_n"))
     pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
     # n is one row: a proven-size broadcast
-    located = located.crossJoin(F.broadcast(n)).select(
-        value, BEFORE, _W, pos.alias("_pos"))
+    located = located.crossJoin(F.broadcast(n)).select(value, BEFORE, _W, pos.alias("_pos"))
     lo, hi = F.floor("_pos"), F.ceil("_pos")
     holds = lambda k: (F.col(BEFORE) <= k) & (k < F.col(BEFORE) + F.col(_W))
     picked = located.where(holds(lo) | holds(hi)).agg(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
 from ..functions.scalars import ratio
+from ..session import ensure_checkpoint_dir
 from .behavior import multiplicity, territory_prescriber_trx, trx_base
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
@@ -66,7 +67,12 @@ def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
 
 def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """Summary + HIGH_VALUE (total >= cut-off) or NORMAL."""
+    """Summary + HIGH_VALUE (total >= cut-off) or NORMAL.
+
+    The summary is read twice (cut-off and rows), so it is checkpointed once.
+    """
+    ensure_checkpoint_dir(summary.sparkSession)
+    summary = summary.checkpoint(eager=True)
     cutoff = hco_value_cutoff(summary, t)
     # the cut-off is a single row: a proven-size broadcast
     return (summary.crossJoin(F.broadcast(cutoff))

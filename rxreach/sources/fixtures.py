@@ -44,6 +44,7 @@ class Fixture:
     pre: tuple[tuple[str, str], ...]  # helper columns computed before the filter
     where: str | None
     columns: tuple[tuple[str, str], ...]     # output (name, expression)
+    fact: bool = True                 # spread the driving scan (see tables.spread)
 
 
 HCP_MASTER = Fixture(
@@ -62,6 +63,7 @@ HCP_MASTER = Fixture(
         ("territory_id", "c_nationkey"),
         ("target_type", TIER),
     ),
+    fact=False,                       # a dimension: joined by broadcast or shuffle, never spread
 )
 
 PRESCRIPTIONS = Fixture(
@@ -209,6 +211,8 @@ FIXTURES: dict[str, Fixture] = {f.name: f for f in (
 def build(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
     """Spark side: pruned scans, equi-joins, pushed-down filter, projection."""
     frames = [_tables.read(spark, sf_dir, t, fx.source_cols[t]) for t in fx.sources]
+    if fx.fact:
+        frames[0] = _tables.spread(frames[0])
     df = frames[0]
     for right, (lk, rk) in zip(frames[1:], fx.join_keys):
         df = df.join(right, df[lk] == right[rk], "inner")

@@ -24,3 +24,18 @@ def read(spark: SparkSession, sf_dir: str, name: str,
          columns: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path(sf_dir, name))
     return df.select(*columns) if columns else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a fact scan at least one partition per core.
+
+    A file with a single row group is read by a single task, and everything
+    up to the first shuffle (joins to dimensions, expansion of grouping sets,
+    partial aggregation) would then run on one core.  When the scan has fewer
+    splits than the session's parallelism, its pruned columns are spread
+    round-robin: skew-free, and an explicit count is not coalesced away by
+    AQE.  Large inputs have many splits and are left untouched.
+    """
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()   # plans the file scan only, runs no job
+    return scan.repartition(target) if splits < target else scan
