@@ -44,11 +44,14 @@ def _order(c: str, ascending: bool, nulls_first: bool) -> Column:
     return col.desc_nulls_first() if nulls_first else col.desc_nulls_last()
 
 
-def histogram(df: DataFrame, value: str, drop_nulls: bool = False) -> tuple[DataFrame, int]:
-    """Checkpointed (value, _w) histogram and its number of rows."""
+def histogram(df: DataFrame, value: str, drop_nulls: bool = False,
+              sums: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """Checkpointed histogram (value, _w[, sum of each of ``sums``]) and its size."""
     ensure_checkpoint_dir(df.sparkSession)
     src = df.where(F.col(value).isNotNull()) if drop_nulls else df
-    hist = src.groupBy(value).agg(F.count(F.lit(1)).alias(_W)).checkpoint(eager=True)
+    hist = (src.groupBy(value)
+               .agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
+               .checkpoint(eager=True))
     return hist, hist.count()
 
 
@@ -57,24 +60,33 @@ def _before(weight: str, window: Window) -> Column:
                       F.lit(0))
 
 
-def rows_before(hist: DataFrame, size: int, value: str, weight: str = _W,
+def before_col(weight: str) -> str:
+    return BEFORE if weight == _W else f"{BEFORE}_{weight}"
+
+
+def rows_before(hist: DataFrame, size: int, value: str, weights: tuple[str, ...] = (_W,),
                 ascending: bool = True, nulls_first: bool = False,
                 limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
-    """Add ``_before``: total ``weight`` of histogram rows strictly earlier."""
+    """Add, per weight, the total of that weight over histogram rows strictly
+    earlier in the order (``_before`` for the row count, ``_before_<w>``)."""
     order = _order(value, ascending, nulls_first)
     if size <= limit:
         # bounded by the check above: one task may hold it
-        return hist.withColumn(BEFORE, _before(weight, Window.orderBy(order)))
+        w = Window.orderBy(order)
+        return hist.select("*", *[_before(c, w).alias(before_col(c)) for c in weights])
     tagged = (hist.orderBy(order)
                   .withColumn(_PART, F.spark_partition_id())
                   .checkpoint(eager=True))
-    part_totals = tagged.groupBy(_PART).agg(F.sum(weight).alias("_part_weight"))
+    part_totals = tagged.groupBy(_PART).agg(*[F.sum(c).alias(f"_pt_{c}") for c in weights])
     # one row per partition: ordering them in one task is bounded
-    offsets = part_totals.select(_PART, _before("_part_weight", Window.orderBy(_PART)).alias("_offset"))
+    by_part = Window.orderBy(_PART)
+    offsets = part_totals.select(_PART, *[_before(f"_pt_{c}", by_part).alias(f"_off_{c}")
+                                          for c in weights])
+    within = Window.partitionBy(_PART).orderBy(order)
     return (tagged.join(F.broadcast(offsets), _PART)
-                  .withColumn(BEFORE, F.col("_offset")
-                              + _before(weight, Window.partitionBy(_PART).orderBy(order)))
-                  .drop(_PART, "_offset"))
+                  .select(*hist.columns,
+                          *[(F.col(f"_off_{c}") + _before(c, within)).alias(before_col(c))
+                            for c in weights]))
 
 
 def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = False,
@@ -87,7 +99,7 @@ def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = Fa
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     hist, size = histogram(df, value)
-    ranks = (rows_before(hist, size, value, _W, ascending, nulls_first, limit)
+    ranks = (rows_before(hist, size, value, (_W,), ascending, nulls_first, limit)
              .select(F.col(value).alias("_rank_value"),
                      (F.col(BEFORE) + 1).cast("int").alias(out)))
     return (df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "inner")
@@ -102,7 +114,7 @@ def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile"
     floor(p*(n-1)) and ceil(p*(n-1)); NULLs ignored; NULL on empty input.
     """
     hist, size = histogram(df, value, drop_nulls=True)
-    located = rows_before(hist, size, value, _W, ascending=True, limit=limit)
+    located = rows_before(hist, size, value, (_W,), ascending=True, limit=limit)
     n = hist.agg(F.sum(_W).alias("_n"))
     pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
     # n is one row: a proven-size broadcast
