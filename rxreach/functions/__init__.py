@@ -1,0 +1 @@
+"""Column helpers and global order statistics."""

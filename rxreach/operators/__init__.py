@@ -1,0 +1 @@
+"""Operators: DataFrame-in, DataFrame-out functions, one per output table."""

@@ -1,0 +1 @@
+"""Query registry, full-refresh job and the DuckDB oracle."""

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference is batch-only: every table is a full-refresh
+``CREATE OR REPLACE TABLE ... AS`` and no stream, task, watermark or state
+appears in it.  The batch job is ``rxreach.plans.refresh``.
+"""
