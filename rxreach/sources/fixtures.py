@@ -44,7 +44,7 @@ class Fixture:
     pre: tuple[tuple[str, str], ...]  # helper columns computed before the filter
     where: str | None
     columns: tuple[tuple[str, str], ...]     # output (name, expression)
-    fact: bool = True                 # spread the driving scan (see tables.spread)
+    fact: bool = True                 # a fact table (the master is a dimension)
 
 
 HCP_MASTER = Fixture(
@@ -211,7 +211,9 @@ FIXTURES: dict[str, Fixture] = {f.name: f for f in (
 def build(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
     """Spark side: pruned scans, equi-joins, pushed-down filter, projection."""
     frames = [_tables.read(spark, sf_dir, t, fx.source_cols[t]) for t in fx.sources]
-    if fx.fact:
+    if fx.fact and fx.join_keys:
+        # join-derived facts do real map-side work (joins, date arithmetic)
+        # before their first shuffle; spread an under-split driving scan
         frames[0] = _tables.spread(frames[0])
     df = frames[0]
     for right, (lk, rk) in zip(frames[1:], fx.join_keys):
