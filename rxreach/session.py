@@ -48,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local-mode session (tests, laptop) without that setting gets a fresh
     temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:      # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

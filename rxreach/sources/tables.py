@@ -36,6 +36,9 @@ def spread(scan: DataFrame) -> DataFrame:
     round-robin: skew-free, and an explicit count is not coalesced away by
     AQE.  Large inputs have many splits and are left untouched.
     """
-    target = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()   # plans the file scan only, runs no job
+    try:
+        target = scan.sparkSession.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()   # plans the file scan only, runs no job
+    except Exception:      # e.g. a Spark Connect session: no RDD view, leave as is
+        return scan
     return scan.repartition(target) if splits < target else scan
