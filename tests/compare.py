@@ -14,6 +14,8 @@ import duckdb
 
 from rxreach.sources.tables import TABLES, path
 
+EXACT = False   # set True to compare floats bit for bit
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -30,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (2, "nan")
-        return (2, float(f"{v:.9g}"))
+        return (2, v if EXACT else float(f"{v:.9g}"))
     if isinstance(v, decimal.Decimal):
         return (2, float(f"{float(v):.9g}"))
     if isinstance(v, int):

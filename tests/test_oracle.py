@@ -39,3 +39,20 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert df.columns[:5] == ["time_granularity", "month", "year", "target_type", "channel"]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark, con001):
+    bad = {}
+    for key, build in entry_mod.queries().items():
+        df = build(spark, SF001)
+        ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                for f in df.schema.fields}
+        rel = con001.sql(entry_mod.oracle_sql()[key])
+        theirs = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if ours != theirs:
+            bad[key] = (ours, theirs)
+    assert not bad, bad
