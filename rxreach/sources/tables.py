@@ -26,19 +26,24 @@ def read(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+SPREAD_MAX_SPLITS = 8   # at 128 MB per split: inputs up to ~1 GB
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Give a fact scan at least one partition per core.
+    """Give a small, under-split fact scan one partition per core.
 
     A file with a single row group is read by a single task, and everything
     up to the first shuffle (joins to dimensions, expansion of grouping sets,
     partial aggregation) would then run on one core.  When the scan has fewer
-    splits than the session's parallelism, its pruned columns are spread
+    splits than the session's parallelism *and* at most ``SPREAD_MAX_SPLITS``
+    (so the extra shuffle is small), its pruned columns are spread
     round-robin: skew-free, and an explicit count is not coalesced away by
-    AQE.  Large inputs have many splits and are left untouched.
+    AQE.  Anything larger already has enough splits to keep a cluster busy
+    and is never reshuffled here.
     """
     try:
         target = scan.sparkSession.sparkContext.defaultParallelism
         splits = scan.rdd.getNumPartitions()   # plans the file scan only, runs no job
     except Exception:      # e.g. a Spark Connect session: no RDD view, leave as is
         return scan
-    return scan.repartition(target) if splits < target else scan
+    return scan.repartition(target) if splits < min(target, SPREAD_MAX_SPLITS + 1) else scan

@@ -190,3 +190,28 @@ def test_ytd_rows_repeat_per_year(spark, tmp_path):
     case.check("website_rollup")
     ytd = [r for r in case.rows("website_rollup") if r["time_granularity"] == "YTD"]
     assert len(ytd) == 2 and all(r["period"] is None for r in ytd)
+
+
+# ------------------------------------------------------- one key holds a third
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Prescriber N1 and HCP 1 hold a third of all rows; master has a duplicate."""
+    rows, calls, emails = [], [], []
+    for k in range(600):
+        hcp = 1 if k % 3 == 0 else 2 + k % 40
+        week = dt.date(2025, 1, 6) + dt.timedelta(weeks=k % 50)
+        rows.append((f"N{hcp}", hcp % 7, "AR"[k % 2], week, k % 20 + 1, 30))
+        calls.append((10_000 + k // 2, hcp, week, "Tier 1" if hcp % 2 else None, "F2F", 15 * (k % 3)))
+        emails.append((hcp, week, None, "HQ", f"S{k % 3}", ("Delivered", "Bounced")[k % 5 == 0],
+                       k % 2 == 0, k % 4 == 0, None))
+    master = [(h, f"N{h}", 100 + h % 5, h % 7, ("Tier 1", "Tier 2", None)[h % 3]) for h in range(1, 42)]
+    master.append((1, "N1", 200, 3, "Tier 3"))
+    return Case(spark, tmp_path_factory.mktemp("hot"), hcp_master=master,
+                prescriptions=rows, calls=calls, emails=emails)
+
+
+@pytest.mark.parametrize("key", ["hcp_summary", "territory_ranking", "hco_summary", "dependency_risk",
+                                 "omni_exposure", "omni_performance", "call_rollup", "email_rollup",
+                                 "hcp_concentration", "hcp_retention_rate", "hco_adoption"])
+def test_hot_key_matches_literal_sql(hot, key):
+    hot.check(key)
