@@ -115,10 +115,9 @@ def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile"
     """
     hist, size = histogram(df, value, drop_nulls=True)
     located = rows_before(hist, size, value, (_W,), ascending=True, limit=limit)
-    n = hist.agg(F.sum(_W).alias("_n"))
-    pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-    # n is one row: a proven-size broadcast
-    located = located.crossJoin(F.broadcast(n)).select(value, BEFORE, _W, pos.alias("_pos"))
+    # n as a scalar subquery: computed once, inlined as a value (no join)
+    n = hist.agg(F.sum(_W)).scalar()
+    located = located.select(value, BEFORE, _W, ((n - 1).cast("double") * F.lit(float(p))).alias("_pos"))
     lo, hi = F.floor("_pos"), F.ceil("_pos")
     holds = lambda k: (F.col(BEFORE) <= k) & (k < F.col(BEFORE) + F.col(_W))
     picked = located.where(holds(lo) | holds(hi)).agg(

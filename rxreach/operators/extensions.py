@@ -28,9 +28,9 @@ class ExtensionConfig:
 EXT = ExtensionConfig()
 
 
-def _data_end(prescriptions: DataFrame) -> DataFrame:
-    """One row: the last prescription week (a proven-size broadcast)."""
-    return F.broadcast(prescriptions.agg(F.max("week").alias("data_end")))
+def _data_end(prescriptions: DataFrame):
+    """The last prescription week, as a scalar subquery (computed once, inlined)."""
+    return prescriptions.agg(F.max("week")).scalar()
 
 
 def hcp_retention_rate(prescriptions: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def churn_indicators(prescriptions: DataFrame, cfg: ExtensionConfig = EXT) -> Da
     last = (prescriptions.where(F.col("hcp_id").isNotNull())
             .groupBy("hcp_id").agg(F.max("week").alias("last_week")))
     weeks = F.floor(F.datediff(F.col("data_end"), F.col("last_week")) / 7).cast("int")
-    return (last.crossJoin(_data_end(prescriptions))
+    return (last.select("hcp_id", "last_week", _data_end(prescriptions).alias("data_end"))
             .select("hcp_id", "last_week", "data_end", weeks.alias("weeks_since_last"))
             .withColumn("churn_risk", F.when(F.col("weeks_since_last") >= cfg.churn_weeks, 1)
                         .otherwise(0)))
@@ -85,7 +85,7 @@ def hco_growth_segment(affiliated: DataFrame, prescriptions: DataFrame,
     end = F.col("data_end")
     recent = F.col("week") > F.date_sub(end, d)
     prior = (F.col("week") > F.date_sub(end, 2 * d)) & (F.col("week") <= F.date_sub(end, d))
-    per_hco = (affiliated.crossJoin(_data_end(prescriptions))
+    per_hco = (affiliated.select("hco_id", "week", "trx", _data_end(prescriptions).alias("data_end"))
                .groupBy("hco_id")
                .agg(F.sum(F.when(recent, F.col("trx")).otherwise(0)).cast("bigint").alias("recent_trx"),
                     F.sum(F.when(prior, F.col("trx")).otherwise(0)).cast("bigint").alias("prior_trx")))
@@ -143,12 +143,11 @@ def opportunity_territories(exposure: DataFrame) -> DataFrame:
                    ratio_or_zero("total_trx", "hcps").alias("trx_per_hcp")))
     ensure_checkpoint_dir(per.sparkSession)
     per = per.checkpoint(eager=True)
-    medians = percentile_cont(per, "reach_rate", 0.5, out="median_reach_rate").crossJoin(
-        percentile_cont(per, "trx_per_hcp", 0.5, out="median_trx_per_hcp"))
-    flag = ((F.col("reach_rate") > F.col("median_reach_rate"))
-            & (F.col("trx_per_hcp") < F.col("median_trx_per_hcp")))
-    return (per.crossJoin(F.broadcast(medians))        # one row
-            .select(*per.columns, F.when(flag, 1).otherwise(0).alias("opportunity")))
+    # the two medians are scalar subqueries (computed once, inlined)
+    median_reach = percentile_cont(per, "reach_rate", 0.5).scalar()
+    median_trx = percentile_cont(per, "trx_per_hcp", 0.5).scalar()
+    flag = (F.col("reach_rate") > median_reach) & (F.col("trx_per_hcp") < median_trx)
+    return per.select(*per.columns, F.when(flag, 1).otherwise(0).alias("opportunity"))
 
 
 def hcp_concentration(summary: DataFrame, limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
@@ -165,13 +164,12 @@ def hcp_concentration(summary: DataFrame, limit: int = SINGLE_TASK_LIMIT) -> Dat
             .checkpoint(eager=True))
     hist, size = histogram(rows, "total_trx", sums=("_t",))
     pre = rows_before(hist, size, "total_trx", (_W, "_t"), ascending=False, limit=limit)
-    grand = hist.agg(F.sum("_t").alias("_grand"))
+    grand = hist.agg(F.sum("_t")).scalar()
     cum = F.col(before_col("_t")) + F.col("_t")
-    per_value = (pre.crossJoin(F.broadcast(grand))      # one row
-                 .select(F.col("total_trx").alias("_v"),
-                         (F.col(BEFORE) + 1).cast("int").alias("trx_rank"),
-                         cum.cast("bigint").alias("cumulative_trx"),
-                         (cum.cast("double") / F.col("_grand").cast("double")).alias("cumulative_share")))
+    per_value = pre.select(F.col("total_trx").alias("_v"),
+                           (F.col(BEFORE) + 1).cast("int").alias("trx_rank"),
+                           cum.cast("bigint").alias("cumulative_trx"),
+                           (cum.cast("double") / grand.cast("double")).alias("cumulative_share"))
     return (rows.join(per_value, rows["total_trx"] == per_value["_v"])
             .select("hcp_id", "total_trx", "trx_rank", "cumulative_trx", "cumulative_share"))
 

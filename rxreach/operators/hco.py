@@ -73,12 +73,11 @@ def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """
     ensure_checkpoint_dir(summary.sparkSession)
     summary = summary.checkpoint(eager=True)
-    cutoff = hco_value_cutoff(summary, t)
-    # the cut-off is a single row: a proven-size broadcast
-    return (summary.crossJoin(F.broadcast(cutoff))
-            .select(*summary.columns,
-                    F.when(F.col("total_trx") >= F.col("trx_cutoff"), F.lit(HIGH))
-                     .otherwise(F.lit(NORMAL)).alias("hco_segment")))
+    # the cut-off is one value: a scalar subquery, computed once and inlined
+    cutoff = hco_value_cutoff(summary, t).scalar()
+    return summary.select(*summary.columns,
+                          F.when(F.col("total_trx") >= cutoff, F.lit(HIGH))
+                           .otherwise(F.lit(NORMAL)).alias("hco_segment"))
 
 
 def hco_concentration(high_value: DataFrame) -> DataFrame:
