@@ -6,7 +6,9 @@ the tier, once for the HCO), so each prescription row is repeated
 rebuilt from prescriptions pre-summed per (prescriber, territory, week) and
 the master's affiliation pairs, with the repetition carried as a weight —
 the same totals, but the large side is reduced before any join.
-``hco_base`` itself, a row-level output, is the literal double join.
+``hco_base`` itself is a row-level output: one join of the prescriptions with
+the master's affiliation pairs, each repeated as often as the reference's
+first join would repeat it.
 """
 
 from __future__ import annotations
@@ -16,18 +18,27 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
-from ..functions.scalars import ratio
+from ..functions.scalars import month_start, ratio
 from ..session import ensure_checkpoint_dir
-from .behavior import multiplicity, territory_prescriber_trx, trx_base
+from .behavior import multiplicity, territory_prescriber_trx
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
 
 
 def hco_base(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
-    """Row level: base rows of prescribers with an affiliation (NULL HCO dropped)."""
-    base = trx_base(prescriptions, master)
-    aff = master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
-    return (base.join(aff, "hcp_id", "inner")
+    """Row level: base rows of prescribers with an affiliation (NULL HCO dropped).
+
+    The reference joins prescriptions to the master twice (tier, then HCO).
+    The same rows come from one join with a master-side table that holds
+    each (prescriber, HCO) pair ``mult`` times, so the large side meets a
+    single join, whose skewed partitions AQE can split.
+    """
+    pairs = (master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
+             .join(multiplicity(master), "hcp_id", "inner")
+             .select("hcp_id", "hco_id", F.explode(F.sequence(F.lit(1), F.col("mult"))).alias("_copy")))
+    base = prescriptions.select("hcp_id", "territory_id", "week",
+                                month_start("week").alias("month_date"), "trx_cnt")
+    return (base.join(pairs, "hcp_id", "inner")
                 .select("hcp_id", "hco_id", "territory_id", "week", "month_date", "trx_cnt"))
 
 
