@@ -183,10 +183,9 @@ def engagement_trx_correlation(channels: DataFrame) -> DataFrame:
                                 F.col("total_trx").cast("double")), 9).alias("volume_trx_corr")))
 
 
-def from_tables(i, exposure: DataFrame, channels: DataFrame, summary: DataFrame):
+def from_tables(i, exposure: DataFrame, channels: DataFrame, summary: DataFrame,
+                affiliated: DataFrame):
     """Builders for the refresh job, reusing its already written tables."""
-    from .hco import affiliated_trx
-    affiliated = affiliated_trx(i.prescriptions, i.hcp_master)
     return {
         "hcp_retention_rate": lambda: hcp_retention_rate(i.prescriptions),
         "churn_indicators": lambda: churn_indicators(i.prescriptions),

@@ -20,7 +20,7 @@ from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
 from ..functions.scalars import month_start, ratio
 from ..session import ensure_checkpoint_dir
-from .behavior import multiplicity, territory_prescriber_trx
+from .behavior import multiplicity
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
 
@@ -42,14 +42,23 @@ def hco_base(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
                 .select("hcp_id", "hco_id", "territory_id", "week", "month_date", "trx_cnt"))
 
 
-def affiliated_trx(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
+def weekly_trx(prescriptions: DataFrame) -> DataFrame:
+    """(hcp_id, territory_id, week, _sum, _n): the HCO chain's one pre-aggregate.
+
+    ``_sum`` = TRx, ``_n`` = number of non-NULL TRx values.  Every HCO and
+    territory total below is derived from it, so the prescriptions are read
+    and shuffled once per query.
+    """
+    return (prescriptions.groupBy("hcp_id", "territory_id", "week")
+            .agg(F.sum("trx_cnt").alias("_sum"), F.count("trx_cnt").alias("_n")))
+
+
+def affiliated_trx(weekly: DataFrame, master: DataFrame) -> DataFrame:
     """Weighted HCO base: (hcp_id, hco_id, territory_id, week, trx, n).
 
     ``trx`` = TRx of that prescriber-territory-week times the base's
     repetition; ``n`` = number of non-NULL TRx values times the same.
     """
-    weekly = (prescriptions.groupBy("hcp_id", "territory_id", "week")
-              .agg(F.sum("trx_cnt").alias("_sum"), F.count("trx_cnt").alias("_n")))
     aff = (master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
            .join(multiplicity(master), "hcp_id", "inner"))
     return (weekly.join(aff, "hcp_id", "inner")
@@ -58,9 +67,9 @@ def affiliated_trx(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
                     (F.col("_n") * F.col("mult")).cast("bigint").alias("n")))
 
 
-def hco_summary(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
-    a = affiliated_trx(prescriptions, master)
-    return (a.groupBy("hco_id")
+def hco_summary(affiliated: DataFrame) -> DataFrame:
+    """Per HCO: linked prescribers, territory spread, TRx, average, active weeks."""
+    return (affiliated.groupBy("hco_id")
             .agg(F.countDistinct("hcp_id").alias("linked_hcps"),
                  F.countDistinct("territory_id").alias("territory_spread"),
                  F.sum("trx").cast("bigint").alias("total_trx"),
@@ -117,10 +126,12 @@ def high_value_hco_territory(affiliated: DataFrame, high_value: DataFrame) -> Da
             .orderBy(F.col("total_trx").desc_nulls_first()))
 
 
-def territory_totals(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
-    """TRx per territory (NULL territory is a group)."""
-    return (territory_prescriber_trx(prescriptions, master)
-            .groupBy("territory_id").agg(F.sum("trx").cast("bigint").alias("total_trx")))
+def territory_totals(weekly: DataFrame, master: DataFrame) -> DataFrame:
+    """TRx per territory of the base (NULL territory is a group), fan-out applied."""
+    return (weekly.join(multiplicity(master), "hcp_id", "left")
+            .groupBy("territory_id")
+            .agg(F.sum(F.col("_sum") * F.coalesce(F.col("mult"), F.lit(1))).cast("bigint")
+                 .alias("total_trx")))
 
 
 def territory_high_value_trx(affiliated: DataFrame, high_value: DataFrame) -> DataFrame:

@@ -76,18 +76,19 @@ def refresh(spark: SparkSession, sf_dir: str, out_dir: str,
 
     # HCO and dependency
     publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master))
-    affiliated = publish("affiliated_trx", H.affiliated_trx(i.prescriptions, i.hcp_master), work=True)
-    hco_sum = publish("hco_summary", H.hco_summary(i.prescriptions, i.hcp_master))
+    weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True)
+    affiliated = publish("affiliated_trx", H.affiliated_trx(weekly, i.hcp_master), work=True)
+    hco_sum = publish("hco_summary", H.hco_summary(affiliated))
     high_value = publish("high_value_hco", H.high_value_hco(hco_sum))
     publish("hco_concentration", H.hco_concentration(high_value))
     publish("high_value_hco_territory", H.high_value_hco_territory(affiliated, high_value))
     publish("dependency_risk", H.dependency_risk(
         H.territory_high_value_trx(affiliated, high_value),
-        H.territory_totals(i.prescriptions, i.hcp_master)))
+        H.territory_totals(weekly, i.hcp_master)))
 
     if with_extensions:
         channels = O.channel_long(exposure)
-        for name, build in X.from_tables(i, exposure, channels, summary).items():
+        for name, build in X.from_tables(i, exposure, channels, summary, affiliated).items():
             publish(name, build())
     return timings
 

@@ -247,6 +247,13 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
+        self._derived: dict[str, DataFrame] = {}
+
+    def memo(self, key: str, build):
+        """Build a derived frame once per Inputs (e.g. a checkpointed intermediate)."""
+        if key not in self._derived:
+            self._derived[key] = build()
+        return self._derived[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in FIXTURES:

@@ -47,6 +47,16 @@ def schema(name):
     return T.StructType([T.StructField(n, t, True) for n, t in SCHEMAS[name]])
 
 
+class _Frames(types.SimpleNamespace):
+    """The eight inputs as attributes, plus the memo hook catalog builders use."""
+
+    def memo(self, key, build):
+        store = self.__dict__.setdefault("_memo", {})
+        if key not in store:
+            store[key] = build()
+        return store[key]
+
+
 class Case:
     """Inputs for one test: missing tables are empty."""
 
@@ -59,7 +69,7 @@ class Case:
             df.coalesce(1).write.mode("overwrite").parquet(p)
             frames[name] = spark.read.parquet(p)
             self.con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{p}/*.parquet')")
-        self.inputs = types.SimpleNamespace(**frames)
+        self.inputs = _Frames(**frames)
 
     def spark_df(self, key):
         return catalog.BUILDERS[key](self.inputs)
