@@ -24,9 +24,10 @@ from rxreach.plans.oracle import oracle_sql  # noqa: E402
 from rxreach.session import build_session  # noqa: E402
 from rxreach.sources.tables import TABLES, path  # noqa: E402
 
-CHECKPOINTING = {"territory_ranking": 3, "hco_value_cutoff": 2, "high_value_hco": 3,
-                 "hco_concentration": 3, "high_value_hco_territory": 3,
-                 "territory_high_value_trx": 3, "dependency_risk": 3,
+CHECKPOINTING = {"territory_ranking": 3, "hco_summary": 1, "hco_value_cutoff": 3, "high_value_hco": 4,
+                 "hco_concentration": 4, "high_value_hco_territory": 4, "territory_totals": 1,
+                 "territory_high_value_trx": 4, "dependency_risk": 4, "hco_adoption": 1,
+                 "hco_growth_segment": 1,
                  "opportunity_territories": 5, "hcp_concentration": 3}
 
 

@@ -80,7 +80,11 @@ def hco_adoption(affiliated: DataFrame) -> DataFrame:
 
 def hco_growth_segment(affiliated: DataFrame, prescriptions: DataFrame,
                        cfg: ExtensionConfig = EXT) -> DataFrame:
-    """HCO TRx of the last 13 weeks vs the 13 before, and GROWTH/DECLINE/STABLE."""
+    """HCO TRx of the last 13 weeks vs the 13 before, and GROWTH/DECLINE/STABLE.
+
+    ``prescriptions`` only supplies the data end (its last week); any frame
+    with all prescription weeks serves, e.g. the weekly pre-aggregate.
+    """
     d = cfg.growth_window_days
     end = F.col("data_end")
     recent = F.col("week") > F.date_sub(end, d)

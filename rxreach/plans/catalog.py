@@ -95,7 +95,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "hcp_retention_rate": lambda i: X.hcp_retention_rate(i.prescriptions),
     "churn_indicators": lambda i: X.churn_indicators(i.prescriptions),
     "hco_adoption": lambda i: X.hco_adoption(_affiliated(i)),
-    "hco_growth_segment": lambda i: X.hco_growth_segment(_affiliated(i), i.prescriptions),
+    "hco_growth_segment": lambda i: X.hco_growth_segment(_affiliated(i), _weekly(i)),
     "territory_promo_vs_trx": lambda i: X.territory_promo_vs_trx(_exposure(i)),
     "channel_effectiveness": lambda i: X.channel_effectiveness(O.channel_long(_exposure(i))),
     "opportunity_territories": lambda i: X.opportunity_territories(_exposure(i)),
