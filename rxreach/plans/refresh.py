@@ -9,9 +9,17 @@ later in the run recomputes from those files, not from the raw inputs.  The
 eight inputs are derived once, into ``out_dir/_work``, before anything else.
 ``out_dir`` must be a shared folder (HDFS, object store) on a cluster.
 
+Inputs are either the driver's test tables (``--sf-dir``, the fixture
+derivation of ``sources/fixtures.py``) or the user's own eight tables
+(``--inputs name=path_or_table,...``, conformed by ``sources/schemas.py``).
+With ``--database`` each output is also registered as a catalog table
+``<database>.<name>`` over the written files (overwrite = the reference's
+CREATE OR REPLACE).
+
 CLI::
 
     python -m rxreach.plans.refresh --sf-dir /root/testdata/sf0.1 --out /shared/omni
+    python -m rxreach.plans.refresh --inputs calls=/lake/calls,...,hcp_master=crm.hcp --out /shared/omni
 """
 
 from __future__ import annotations
@@ -29,25 +37,34 @@ from ..operators import channels as C
 from ..operators import extensions as X
 from ..operators import hco as H
 from ..operators import omni as O
-from ..sources import FIXTURES, Inputs
+from ..sources import FIXTURES, Inputs, TableInputs
+
 
+def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
+            with_extensions: bool = True, database: str | None = None) -> dict[str, float]:
+    """Write all tables; return seconds per table.
 
-def refresh(spark: SparkSession, sf_dir: str, out_dir: str,
-            with_extensions: bool = True) -> dict[str, float]:
-    """Write all tables; return seconds per table."""
+    ``source``: a test-data folder, or ``{input name: parquet path or table}``.
+    """
     timings: dict[str, float] = {}
 
     def publish(name: str, df: DataFrame, work: bool = False) -> DataFrame:
         path = os.path.join(out_dir, "_work" if work else "", name)
         t0 = time.perf_counter()
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        if database and not work:
+            writer.option("path", path).saveAsTable(f"{database}.{name}")
+        else:
+            writer.parquet(path)
         timings[name] = round(time.perf_counter() - t0, 3)
         return spark.read.parquet(path)
 
-    # the eight inputs are derived once and every table is built from the files
-    derived = Inputs(spark, sf_dir)
-    i = types.SimpleNamespace(**{name: publish(f"input_{name}", getattr(derived, name), work=True)
+    # the eight inputs are derived (or conformed) once; every table is built from the files
+    given = TableInputs(spark, source) if isinstance(source, dict) else Inputs(spark, source)
+    i = types.SimpleNamespace(**{name: publish(f"input_{name}", getattr(given, name), work=True)
                                  for name in FIXTURES})
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     # L1 channel rollups
     publish("call_rollup", C.call_rollup(i.calls))
@@ -96,13 +113,17 @@ def refresh(spark: SparkSession, sf_dir: str, out_dir: str,
 def main() -> None:
     from ..session import build_session
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
-    ap.add_argument("--out", required=True)
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf-dir", help="folder of the driver's test tables")
+    src.add_argument("--inputs", help="name=path_or_table,... for all eight inputs")
+    ap.add_argument("--out", required=True, help="shared output folder")
+    ap.add_argument("--database", default=None, help="also register outputs as catalog tables")
     ap.add_argument("--master", default=None)
     ap.add_argument("--no-extensions", action="store_true")
     a = ap.parse_args()
+    source = a.sf_dir or dict(kv.split("=", 1) for kv in a.inputs.split(","))
     spark = build_session(a.master)
-    print(json.dumps(refresh(spark, a.sf_dir, a.out, not a.no_extensions)))
+    print(json.dumps(refresh(spark, source, a.out, not a.no_extensions, a.database)))
 
 
 if __name__ == "__main__":

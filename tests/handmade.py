@@ -10,41 +10,15 @@ import os
 import types
 
 import duckdb
-from pyspark.sql import types as T
 
 from compare import compare
 from rxreach.plans import catalog
 from rxreach.plans.oracle import oracle_sql
-
-S, L, I, D, B, TS = (T.StringType(), T.LongType(), T.IntegerType(), T.DateType(),
-                     T.BooleanType(), T.TimestampType())
-
-SCHEMAS = {
-    "hcp_master": [("id", L), ("hcp_id", S), ("hco_id", L), ("territory_id", I), ("target_type", S)],
-    "prescriptions": [("hcp_id", S), ("territory_id", I), ("drug_class", S), ("week", D),
-                      ("trx_cnt", L), ("trx_qty", L)],
-    "calls": [("interaction_id", L), ("customer_id", L), ("contact_date", D), ("tier", S),
-              ("call_type", S), ("call_duration", I)],
-    "emails": [("customer_id", L), ("email_date", D), ("tier", S), ("email_type", S),
-               ("subject_category", S), ("delivery_status", S), ("opened_flag", B),
-               ("clicked_flag", B), ("reach_back", B)],
-    "congress": [("customer_id", L), ("start_time", TS), ("tier", S), ("congress_name", S),
-                 ("mode", S), ("invitation_sent", B), ("registered", B), ("attended", B),
-                 ("booth_visit", B), ("post_congress_followup", B)],
-    "paid_search": [("month", S), ("search_engine", S), ("campaign_id", L), ("campaign_name", S),
-                    ("impressions", L), ("clicks", L), ("cost", T.DecimalType(12, 2))],
-    "display": [("month", S), ("package", S), ("impressions", L), ("reach", L),
-                ("viewable_impressions", L), ("clicks", L), ("cost", T.DecimalType(12, 2)),
-                ("post_view_sessions", L), ("post_click_sessions", L)],
-    "website": [("month", S), ("source", S)] + [(c, L) for c in (
-        "sessions", "engaged_sessions", "pageviews", "event_clicks", "event_form_submit",
-        "event_downloads", "event_registrations", "scroll_25", "scroll_50", "scroll_75",
-        "scroll_100")],
-}
+from rxreach.sources.schemas import SCHEMAS
 
 
 def schema(name):
-    return T.StructType([T.StructField(n, t, True) for n, t in SCHEMAS[name]])
+    return SCHEMAS[name]
 
 
 class _Frames(types.SimpleNamespace):

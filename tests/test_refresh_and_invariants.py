@@ -71,3 +71,27 @@ def test_golden_counts_sf001(q):
     assert (funnel.total_writers, funnel.active_hcps, funnel.high_value_hcps) == (1500, 1496, 458)
     flags = {r.risk_flag: r["count"] for r in q("dependency_risk").groupBy("risk_flag").count().collect()}
     assert flags == {"HIGH_DEPENDENCY": 7, "MEDIUM_DEPENDENCY": 11, "LOW_DEPENDENCY": 6}
+
+
+def test_refresh_from_user_tables_with_text_flags(spark, tmp_path):
+    """User tables in other spellings/types: conformed, then the same results."""
+    from pyspark.sql import functions as F
+
+    from rxreach.sources import FIXTURES, Inputs
+    derived = Inputs(spark, SF001)
+    sources = {}
+    for name in FIXTURES:
+        df = getattr(derived, name)
+        if name == "emails":       # flags as text, upper-case column names
+            df = df.select(*[F.when(F.col(c), "TRUE").when(~F.col(c), "false").alias(c.upper())
+                             if c in ("opened_flag", "clicked_flag", "reach_back") else F.col(c)
+                             for c in df.columns])
+        p = str(tmp_path / "in" / name)
+        df.write.parquet(p)
+        sources[name] = p
+    out = str(tmp_path / "out")
+    refresh(spark, sources, out, with_extensions=False)
+    con = duck(SF001)
+    for key in ("email_rollup", "omni_exposure", "dependency_risk"):
+        ok, msg = compare(spark.read.parquet(f"{out}/{key}"), con, entry_mod.oracle_sql()[key])
+        assert ok, f"{key}: {msg}"
