@@ -45,6 +45,7 @@ class Fixture:
     where: str | None
     columns: tuple[tuple[str, str], ...]     # output (name, expression)
     fact: bool = True                 # a fact table (the master is a dimension)
+    row_key: str | None = None        # near-unique key of the driving table (for spread)
 
 
 HCP_MASTER = Fixture(
@@ -70,6 +71,7 @@ PRESCRIPTIONS = Fixture(
     name="prescriptions",
     sources=("lineitem", "orders", "customer"),
     join_keys=(("l_orderkey", "o_orderkey"), ("o_custkey", "c_custkey")),
+    row_key="l_orderkey",
     source_cols={"lineitem": ("l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"),
                  "orders": ("o_orderkey", "o_custkey"),
                  "customer": ("c_custkey", "c_nationkey")},
@@ -88,6 +90,7 @@ PRESCRIPTIONS = Fixture(
 
 _ORDERS_CUSTOMER = dict(
     sources=("orders", "customer"),
+    row_key="o_orderkey",
     join_keys=(("o_custkey", "c_custkey"),),
     source_cols={"orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                             "o_orderpriority"),
@@ -211,10 +214,11 @@ FIXTURES: dict[str, Fixture] = {f.name: f for f in (
 def build(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
     """Spark side: pruned scans, equi-joins, pushed-down filter, projection."""
     frames = [_tables.read(spark, sf_dir, t, fx.source_cols[t]) for t in fx.sources]
-    if fx.fact and fx.join_keys:
+    if fx.fact and fx.join_keys and fx.row_key:
         # join-derived facts do real map-side work (joins, date arithmetic)
         # before their first shuffle; spread an under-split driving scan
-        frames[0] = _tables.spread(frames[0])
+        n = _tables.splits(spark, _tables.path(sf_dir, fx.sources[0]))
+        frames[0] = _tables.spread(frames[0], n, fx.row_key)
     df = frames[0]
     for right, (lk, rk) in zip(frames[1:], fx.join_keys):
         df = df.join(right, df[lk] == right[rk], "inner")
