@@ -45,13 +45,18 @@ def _order(c: str, ascending: bool, nulls_first: bool) -> Column:
 
 
 def histogram(df: DataFrame, value: str, drop_nulls: bool = False,
-              sums: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
-    """Checkpointed histogram (value, _w[, sum of each of ``sums``]) and its size."""
-    ensure_checkpoint_dir(df.sparkSession)
+              sums: tuple[str, ...] = (), source_saved: bool = False) -> tuple[DataFrame, int]:
+    """Histogram (value, _w[, sum of each of ``sums``]) and its size.
+
+    The histogram is counted and then used, so it is checkpointed to be
+    computed once — unless ``source_saved``: ``df`` itself is already a
+    checkpoint, and re-aggregating it is cheaper than writing another.
+    """
     src = df.where(F.col(value).isNotNull()) if drop_nulls else df
-    hist = (src.groupBy(value)
-               .agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
-               .checkpoint(eager=True))
+    hist = src.groupBy(value).agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
+    if not source_saved:
+        ensure_checkpoint_dir(df.sparkSession)
+        hist = hist.checkpoint(eager=True)
     return hist, hist.count()
 
 
@@ -98,7 +103,7 @@ def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = Fa
     """
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
-    hist, size = histogram(df, value)
+    hist, size = histogram(df, value, source_saved=True)
     ranks = (rows_before(hist, size, value, (_W,), ascending, nulls_first, limit)
              .select(F.col(value).alias("_rank_value"),
                      (F.col(BEFORE) + 1).cast("int").alias(out)))
@@ -107,13 +112,13 @@ def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = Fa
 
 
 def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile",
-                    limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+                    limit: int = SINGLE_TASK_LIMIT, source_saved: bool = False) -> DataFrame:
     """One-row frame: ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)``.
 
     Linear interpolation between the values at 0-based positions
     floor(p*(n-1)) and ceil(p*(n-1)); NULLs ignored; NULL on empty input.
     """
-    hist, size = histogram(df, value, drop_nulls=True)
+    hist, size = histogram(df, value, drop_nulls=True, source_saved=source_saved)
     located = rows_before(hist, size, value, (_W,), ascending=True, limit=limit)
     # n as a scalar subquery: computed once, inlined as a value (no join)
     n = hist.agg(F.sum(_W)).scalar()

@@ -148,8 +148,8 @@ def opportunity_territories(exposure: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(per.sparkSession)
     per = per.checkpoint(eager=True)
     # the two medians are scalar subqueries (computed once, inlined)
-    median_reach = percentile_cont(per, "reach_rate", 0.5).scalar()
-    median_trx = percentile_cont(per, "trx_per_hcp", 0.5).scalar()
+    median_reach = percentile_cont(per, "reach_rate", 0.5, source_saved=True).scalar()
+    median_trx = percentile_cont(per, "trx_per_hcp", 0.5, source_saved=True).scalar()
     flag = (F.col("reach_rate") > median_reach) & (F.col("trx_per_hcp") < median_trx)
     return per.select(*per.columns, F.when(flag, 1).otherwise(0).alias("opportunity"))
 
@@ -166,7 +166,7 @@ def hcp_concentration(summary: DataFrame, limit: int = SINGLE_TASK_LIMIT) -> Dat
     rows = (summary.where(F.col("total_trx").isNotNull())
             .select("hcp_id", "total_trx", F.col("total_trx").alias("_t"))
             .checkpoint(eager=True))
-    hist, size = histogram(rows, "total_trx", sums=("_t",))
+    hist, size = histogram(rows, "total_trx", sums=("_t",), source_saved=True)
     pre = rows_before(hist, size, "total_trx", (_W, "_t"), ascending=False, limit=limit)
     grand = hist.agg(F.sum("_t")).scalar()
     cum = F.col(before_col("_t")) + F.col("_t")

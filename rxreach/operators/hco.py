@@ -81,9 +81,11 @@ def hco_summary(affiliated: DataFrame) -> DataFrame:
                     "active_weeks"))
 
 
-def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
+def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT,
+                     summary_saved: bool = False) -> DataFrame:
     """One row: the continuous percentile of HCO totals used as the cut-off."""
-    return percentile_cont(summary, "total_trx", t.hco_percentile, out="trx_cutoff")
+    return percentile_cont(summary, "total_trx", t.hco_percentile, out="trx_cutoff",
+                           source_saved=summary_saved)
 
 
 def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
@@ -94,7 +96,7 @@ def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     ensure_checkpoint_dir(summary.sparkSession)
     summary = summary.checkpoint(eager=True)
     # the cut-off is one value: a scalar subquery, computed once and inlined
-    cutoff = hco_value_cutoff(summary, t).scalar()
+    cutoff = hco_value_cutoff(summary, t, summary_saved=True).scalar()
     return summary.select(*summary.columns,
                           F.when(F.col("total_trx") >= cutoff, F.lit(HIGH))
                            .otherwise(F.lit(NORMAL)).alias("hco_segment"))
