@@ -218,38 +218,56 @@ def channel_long(exposure: DataFrame) -> DataFrame:
                             "total_trx"))
 
 
-L2_DIMS = ["month", "year", "target_type", "channel"]
-L2_SETS = [["month", "year", "target_type", "channel"],
-           ["month", "year", "channel"],
-           ["year", "target_type", "channel"],
-           ["year", "channel"]]
-
-
-def omni_performance(channels: DataFrame) -> DataFrame:
-    one = lambda c: F.col(c) == 1
+L2_DIMS = ["month", "year", "target_type"]
+L2_SETS = [["month", "year", "target_type"],
+           ["month", "year"],
+           ["year", "target_type"],
+           ["year"]]
+L2_CHANNELS = [(label, prefix) for label, prefix, _ in CHANNELS] + [("OVERALL", "overall")]
+_PER_CHANNEL = ["reached_hcps", "engaged_hcps", "deep_engaged_hcps", "writers_reached",
+                "writers_engaged", "writers_deep_engaged", "trx_from_reached", "trx_from_engaged",
+                "trx_from_deep_engaged", "total_channel_volume"]
+
+
+def omni_performance(exposure: DataFrame) -> DataFrame:
+    """L2: reach, engagement and writer counts and TRx per level and channel.
+
+    Levels: (month, year, target type), (month, year), (year, target type),
+    (year), each per channel (three channels and OVERALL).  Instead of
+    unpivoting every HCP-month into four channel rows and then expanding four
+    levels (16 rows per HCP-month before the first shuffle), the channels
+    travel as columns through both aggregation steps and are unpivoted only
+    at the end, on the aggregated rows: 4 rows per HCP-month.  Distinct HCP
+    counts use the two-step aggregate of ``rollup.py`` (first per level and
+    HCP, keyed by the HCP, then summed per level).
+    """
     writer = F.col("total_trx") > 0
-    trx_if = lambda cond: F.sum(F.when(cond, F.col("total_trx")).otherwise(F.lit(0)))
-    agg = grouping_sets_with_reach(
-        channels, L2_DIMS, L2_SETS, entity="hcp_id",
-        additive={
-            "total_trx": F.sum("total_trx"),
-            "trx_from_reached": trx_if(one("reach_flag")),
-            "trx_from_engaged": trx_if(one("engagement_flag")),
-            "trx_from_deep_engaged": trx_if(one("deep_engagement_flag")),
-            "total_channel_volume": F.sum("channel_volume"),
-        },
-        reach={
-            "reached_hcps": one("reach_flag"),
-            "engaged_hcps": one("engagement_flag"),
-            "deep_engaged_hcps": one("deep_engagement_flag"),
-            "total_writers": writer,
-            "writers_reached": one("reach_flag") & writer,
-            "writers_engaged": one("engagement_flag") & writer,
-            "writers_deep_engaged": one("deep_engagement_flag") & writer,
-        })
+    volumes = {"calls": F.col("total_calls"), "email": F.col("total_emails_sent"),
+               "congress": F.col("total_congress_invites"),
+               "overall": (F.coalesce(F.col("total_calls"), F.lit(0))
+                           + F.coalesce(F.col("total_emails_sent"), F.lit(0))
+                           + F.coalesce(F.col("total_congress_invites"), F.lit(0)))}
+    additive = {"total_trx": F.sum("total_trx")}
+    reach = {"total_writers": writer}
+    for _, p in L2_CHANNELS:
+        flags = {"reached": F.col(f"{p}_reach_flag") == 1,
+                 "engaged": F.col(f"{p}_engagement_flag") == 1,
+                 "deep_engaged": F.col(f"{p}_deep_engagement_flag") == 1}
+        for name, cond in flags.items():
+            reach[f"{p}__{name}_hcps"] = cond
+            reach[f"{p}__writers_{name}"] = cond & writer
+            additive[f"{p}__trx_from_{name}"] = F.sum(F.when(cond, F.col("total_trx")).otherwise(F.lit(0)))
+        additive[f"{p}__total_channel_volume"] = F.sum(volumes[p].cast("bigint"))
+    base = exposure.withColumnRenamed("tier", "target_type")
+    agg = grouping_sets_with_reach(base, L2_DIMS, L2_SETS, "hcp_id", additive, reach)
+    per_channel = F.inline(F.array(*[
+        F.struct(F.lit(label).alias("channel"),
+                 *[F.col(f"{p}__{m}").alias(m) for m in _PER_CHANNEL])
+        for label, p in L2_CHANNELS]))
+    long = agg.select("_gid", *L2_DIMS, "total_trx", "total_writers", per_channel)
     r = lambda d: rolled(L2_DIMS, d)
     monthly = ~r("month")
-    return agg.select(
+    return long.select(
         F.when(monthly, F.lit("MONTHLY")).otherwise(F.lit("YEARLY")).alias("time_granularity"),
         "month", "year",
         F.when(r("target_type"), F.lit("ALL")).otherwise(F.col("target_type")).alias("target_type"),

@@ -71,7 +71,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "hcp_month_trx": lambda i: O.hcp_month_trx(i.prescriptions, i.hcp_master),
     "omni_exposure": _exposure,
     "channel_long": lambda i: O.channel_long(_exposure(i)),
-    "omni_performance": lambda i: O.omni_performance(O.channel_long(_exposure(i))),
+    "omni_performance": lambda i: O.omni_performance(_exposure(i)),
     # prescriber behaviour
     "hcp_writing_analysis": lambda i: B.hcp_writing_analysis(i.prescriptions, i.hcp_master),
     "trx_week_bounds": lambda i: B.trx_week_bounds(i.prescriptions),

@@ -78,7 +78,7 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
     # omni L1 -> L2
     exposure = publish("omni_exposure", O.omni_exposure(
         i.calls, i.emails, i.congress, i.prescriptions, i.hcp_master))
-    publish("omni_performance", O.omni_performance(O.channel_long(exposure)))
+    publish("omni_performance", O.omni_performance(exposure))
 
     # prescriber behaviour
     publish("hcp_writing_analysis", B.hcp_writing_analysis(i.prescriptions, i.hcp_master))
