@@ -24,6 +24,9 @@ from rxreach.plans.oracle import oracle_sql  # noqa: E402
 from rxreach.session import build_session  # noqa: E402
 from rxreach.sources.tables import TABLES, path  # noqa: E402
 
+# the input spread of sources/tables.spread: a hash exchange on the driving table's order key
+SPREAD = re.compile(r"Exchange hashpartitioning\((?:l_orderkey|o_orderkey)#\d+L?, \d+\), REPARTITION")
+
 CHECKPOINTING = {"territory_ranking": 3, "hco_summary": 1, "hco_value_cutoff": 3, "high_value_hco": 4,
                  "hco_concentration": 4, "high_value_hco_territory": 4, "territory_totals": 1,
                  "territory_high_value_trx": 4, "dependency_risk": 4, "hco_adoption": 1,
@@ -39,8 +42,9 @@ def shape(df) -> dict[str, int]:
     scans = re.findall(r"FileScan parquet \S*\[(.*?)\]", plan)
     return {
         "scans": len(scans),
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)),
-        "spreads": len(re.findall(r"Exchange RoundRobinPartitioning", plan)),
+        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
+        - len(SPREAD.findall(plan)),
+        "spreads": len(re.findall(r"Exchange RoundRobinPartitioning", plan)) + len(SPREAD.findall(plan)),
         "broadcasts": plan.count("BroadcastExchange"),
         "expands": len(re.findall(r"\bExpand\b", plan)),
         "max_scan_cols": max((len(s.split(",")) for s in scans), default=0),
@@ -60,9 +64,9 @@ def main() -> None:
         "reference-style SQL of `oracle_sql()` run through Spark SQL: one GROUP BY per level + UNION",
         "ALL, key spine + left joins, row-level joins before aggregation.  Scans include the fixture",
         "derivation of the inputs in both columns.  `cols` = most columns any scan reads (all scans",
-        "are pruned: the widest driver table has 11 columns).  `spread` = round-robin exchanges",
-        "that give a single-split input one partition per core (`sources/tables.spread`); they",
-        "disappear when inputs have many splits.",
+        "are pruned: the widest driver table has 11 columns).  `spread` = exchanges that give a",
+        "single-split input one partition per core (`sources/tables.spread`, hash on the order key);",
+        "they disappear when inputs have many splits.",
         "",
         "Node counts are not bytes.  On these small tables the HCP master is broadcast, so the",
         "literal row-level join to it costs no shuffle; a national master is far above the",
