@@ -68,13 +68,17 @@ def _period_by_dimension(base: DataFrame, dims: list[str], additive, reach=None,
     """Levels {month number, year} x {ALL, each of ``dims``}.
 
     Output: granularity, period, sub_granularity, sub_granularity_value, measures.
+    With only sums (no distinct counts), every level rolls up from the finest
+    one: the raw rows are summed once per (month, year, dims) — partial
+    aggregation, one shuffle — and the levels expand over that small table.
     """
     all_dims = ["month_num", "year_num"] + dims
     sets = [[p] + extra for p in ("month_num", "year_num") for extra in [[]] + [[d] for d in dims]]
     if reach:
         agg = grouping_sets_with_reach(base, all_dims, sets, entity, additive, reach)
     else:
-        agg = grouping_sets(base, all_dims, sets, [a.alias(n) for n, a in additive.items()])
+        finest = base.groupBy(*all_dims).agg(*[a.alias(n) for n, a in additive.items()])
+        agg = grouping_sets(finest, all_dims, sets, [F.sum(n).alias(n) for n in additive])
     r = lambda d: rolled(all_dims, d)
     sub_name = F.lit("ALL")
     sub_value = F.lit("ALL")
@@ -141,16 +145,19 @@ def trx_rollup(prescriptions: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ month + YTD rollups
 def _month_and_ytd(df: DataFrame, dims: list[str], sums: list[str],
                    derived: dict) -> DataFrame:
-    """Levels (month, dims) and (year, dims): one grouping-sets pass.
+    """Levels (month, dims) and (year, dims).
 
-    The reference sums to months first and then sums the months per year;
-    summing the raw rows per year gives the same totals in one aggregate.
-    Money columns (DECIMAL) are summed exactly and turned into DOUBLE last.
+    As in the reference, the raw rows are summed per month first (partial
+    aggregation, one shuffle) and the year level rolls up from those monthly
+    sums; both levels come out of one grouping-sets pass over the small
+    monthly table.  Money columns (DECIMAL) are summed exactly and turned
+    into DOUBLE last.
     """
     base = df.select(month_start_from_text("month").alias("month_dt"), *dims, *sums) \
              .withColumn("yr", F.year("month_dt").cast("int"))
     keys = ["month_dt", "yr"] + dims
-    agg = grouping_sets(base, keys, [["month_dt", "yr"] + dims, ["yr"] + dims],
+    monthly = base.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
+    agg = grouping_sets(monthly, keys, [["month_dt", "yr"] + dims, ["yr"] + dims],
                         [F.sum(s).alias(s) for s in sums])
     month_level = ~rolled(keys, "month_dt")
     out = [F.when(month_level, F.lit("MONTH")).otherwise(F.lit("YTD")).alias("time_granularity"),
