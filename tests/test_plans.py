@@ -54,3 +54,13 @@ def test_rollups_expand_once(plans, key):
 def test_flagship_has_no_global_window(plans):
     # windows without PARTITION BY run on one task; the flagship must have none
     assert "Window" not in plans["omni_performance"]
+
+
+def test_spread_only_reshuffles_small_under_split_scans(spark):
+    from rxreach.sources import tables
+    scan = tables.read(spark, SF001, "orders", ("o_orderkey", "o_custkey"))
+    assert "Exchange" not in plan_of(tables.spread(scan, 1000, "o_orderkey"))       # many splits
+    assert "Exchange" not in plan_of(tables.spread(scan, tables.SPREAD_MAX_SPLITS + 1, "o_orderkey"))
+    spread = plan_of(tables.spread(scan, 1, "o_orderkey"))
+    assert len(re.findall(r"Exchange hashpartitioning\(o_orderkey", spread)) == 1   # hash on the row key
+    assert "RoundRobin" not in spread
