@@ -62,5 +62,5 @@ def test_spread_only_reshuffles_small_under_split_scans(spark):
     assert "Exchange" not in plan_of(tables.spread(scan, 1000, "o_orderkey"))       # many splits
     assert "Exchange" not in plan_of(tables.spread(scan, tables.SPREAD_MAX_SPLITS + 1, "o_orderkey"))
     spread = plan_of(tables.spread(scan, 1, "o_orderkey"))
-    assert len(re.findall(r"Exchange hashpartitioning\(o_orderkey", spread)) == 1   # hash on the row key
+    assert len(re.findall(r"Arguments: hashpartitioning\(o_orderkey", spread)) == 1   # hash on the row key
     assert "RoundRobin" not in spread
