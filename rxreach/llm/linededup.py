@@ -73,6 +73,25 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         F.expr("1").bitwiseAND(F.call_function("shiftright", end, at)) == 1)
 
 
+def differing(pairs: DataFrame, x: str, y: str, pieces: int = 16) -> DataFrame:
+    """Pairs (x as long as y or one longer) that may be one edit apart, with
+    what is left of both without ends they share (which changes no distance):
+    all but one of the pieces of y, and a code point, must agree from the two
+    ends.  Plain comparisons leave the automaton few code points to run on."""
+    lx, ly = F.col(x), F.col(y)
+    n, which = F.length(ly), F.lit(None).cast("int")
+    head = lambda k: F.floor(n * k / pieces).cast("int")                                   # noqa: E731
+    tail = lambda k: F.greatest(n - F.ceil(n * (k + 1) / pieces).cast("int") - 1, F.lit(0))
+    for k in reversed(range(pieces)):
+        which = F.when((F.left(lx, head(k)) == F.left(ly, head(k)))
+                       & (F.right(lx, tail(k)) == F.right(ly, tail(k))), k).otherwise(which)
+    def rest(c: Column) -> Column:
+        k = F.col("_k")
+        return F.substring(c, head(k) + 1, F.length(c) - head(k) - tail(k))
+    return (pairs.withColumn("_k", which).where("_k is not null")
+                 .withColumns({x: rest(lx), y: rest(ly)}).drop("_k"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.hash("text").alias("_th"),
                        F.split("text", "\n", -1).alias("lines"))
@@ -142,14 +161,14 @@ def kept_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
     wanted = met.select(F.col("at._id").alias("_id"), F.col("at._th").alias("_th"),
                         F.col("at.pos").alias("pos"))
     wanted = wanted.groupBy(*KEY).agg(F.collect_set("pos").alias("want"))
-    texts = (_null_safe(_lines(docs), wanted, "inner")
+    texts = (_null_safe(_whole(_lines(docs)), wanted, "inner")
              .select(*KEY, "lines", F.explode("want").alias("pos"))
              .select(F.struct(*KEY, "pos").alias("at"), F.get("lines", F.col("pos")).alias("line"))
              .distinct())
     texts = saved(texts)
-    near = (pairs.join(texts.select(F.col("at").alias("x"), F.col("line").alias("lx")), "x")
-                 .join(texts.select(F.col("at").alias("y"), F.col("line").alias("ly")), "y")
-                 .where(within(F.col("lx"), F.col("ly"), 1))
+    near = pairs.join(texts.select(F.col("at").alias("x"), F.col("line").alias("lx")), "x").join(
+        texts.select(F.col("at").alias("y"), F.col("line").alias("ly")), "y")
+    near = (differing(near, "lx", "ly").where(within(F.col("lx"), F.col("ly"), 1))
                  .select(F.greatest("x", "y").alias("at")))
     n = F.length("line")
     base = F.when(F.col("longer"), n - 1).otherwise(n)
@@ -169,11 +188,18 @@ def _null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
                      how).drop("_rid", "_rth")
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """The side of a join that carries texts: sorted merge at every size, so a
+    job on little data has the plan of one on much."""
+    return docs.hint("merge")
+
+
 def dedup_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
     """``docs`` with the lines that stay as ``text``, plus n_lines, n_removed."""
     kept = saved(kept_lines(docs, min_near))
-    d = docs.withColumns({"_id": F.col("doc_id"), "_th": F.hash("text"), "_lines": F.split("text", "\n", -1)})
-    out = _null_safe(d, kept, "left")
+    d = docs.withColumns({"_id": F.col("doc_id"), "_th": F.hash("text"),
+                          "_lines": F.split("text", "\n", -1)}).drop("text")
+    out = _null_safe(_whole(d), kept, "left")
     out = out.withColumn("_kept", F.coalesce("kept", F.expr("array()").cast("array<int>")))
     blanks = F.filter("_lines", lambda x: ~x.rlike(r"[^\x20\x09-\x0D]"))
     # merge the listed lines with the blank ones in order; without blank lines
@@ -182,9 +208,8 @@ def dedup_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
     order = F.when(F.size(blanks) == 0, F.col("_kept")).otherwise(
         F.sort_array(F.concat("_kept", F.array_compact(numbered))))
     out = out.withColumn("_order", order)
-    text = F.array_join(F.transform("_order", lambda i: F.get("_lines", i)), "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines"))
-    return (out.withColumns({"text": F.when(F.col("text").isNull(), F.col("text")).otherwise(text),
-                             "n_lines": n.cast("long"),
-                             "n_removed": (n - F.when(F.col("text").isNull(), 0).otherwise(F.size("_order"))).cast("long")})
-               .drop("_id", "_th", "_rid", "_rth", "_lines", "kept", "_kept", "_order"))
+    null = F.col("_lines").isNull()
+    text = F.when(~null, F.array_join(F.transform("_order", lambda i: F.get("_lines", i)), "\n"))
+    n, left = [F.when(null, 0).otherwise(F.size(c)) for c in ("_lines", "_order")]
+    return out.select(*[text.alias("text") if c == "text" else c for c in docs.columns],
+                      n.cast("long").alias("n_lines"), (n - left).cast("long").alias("n_removed"))
