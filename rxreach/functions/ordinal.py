@@ -3,22 +3,15 @@
 ``RANK() OVER (ORDER BY x)`` and ``PERCENTILE_CONT`` are global: written as a
 plain window or as the ``percentile`` aggregate, Spark moves every row (or
 every distinct value) to a single task.  Both are computed here from a
-histogram of the ordered value:
-
-1. ``groupBy(x).count()`` — one row per distinct value, partial-aggregated
-   map-side, so a value held by a third of all rows costs nothing extra.  It
-   is saved with a reliable checkpoint (computed once, lineage cut) and its
-   size is counted.
-2. The number of rows strictly before each value is a running sum over the
-   sorted histogram:
-
-   * up to ``SINGLE_TASK_LIMIT`` distinct values (a checked bound): one
-     window over the histogram in a single task;
-   * beyond it: a range-partitioned sort of the histogram, each row tagged
-     with its partition id and checkpointed (a range sort's layout depends
-     on sampling, so it is frozen before it is read twice); per-partition
-     totals (one row per partition, broadcast) give each partition's offset
-     and a window *within* each partition gives the rest.
+histogram of the ordered value, lazily and the same way at every size:
+
+1. ``groupBy(x).count()``: one row per distinct value, partial-aggregated
+   map-side, so a value held by a third of all rows costs nothing extra.
+2. Each value falls into one of at most ``BUCKETS`` buckets that keep the
+   order: the logarithm of its distance from the smallest value, relative to
+   the whole range (min and max are scalar subqueries), so long tails spread.
+3. Bucket totals (a bounded table) get their prefix sums in one window; a
+   window *within* each bucket gives the rest.
 
 Ranks and interpolated percentiles follow exactly from those counts.
 """
@@ -28,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-SINGLE_TASK_LIMIT = 1_000_000
+BUCKETS = 4000
 
-_PART = "_part"
+_B = "_bucket"
 _W = "_w"
 BEFORE = "_before"
 
@@ -45,19 +36,10 @@ def _order(c: str, ascending: bool, nulls_first: bool) -> Column:
 
 
 def histogram(df: DataFrame, value: str, drop_nulls: bool = False,
-              sums: tuple[str, ...] = (), source_saved: bool = False) -> tuple[DataFrame, int]:
-    """Histogram (value, _w[, sum of each of ``sums``]) and its size.
-
-    The histogram is counted and then used, so it is checkpointed to be
-    computed once — unless ``source_saved``: ``df`` itself is already a
-    checkpoint, and re-aggregating it is cheaper than writing another.
-    """
+              sums: tuple[str, ...] = ()) -> DataFrame:
+    """Histogram (value, _w[, sum of each of ``sums``])."""
     src = df.where(F.col(value).isNotNull()) if drop_nulls else df
-    hist = src.groupBy(value).agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
-    if not source_saved:
-        ensure_checkpoint_dir(df.sparkSession)
-        hist = hist.checkpoint(eager=True)
-    return hist, hist.count()
+    return src.groupBy(value).agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
 
 
 def _before(weight: str, window: Window) -> Column:
@@ -69,57 +51,56 @@ def before_col(weight: str) -> str:
     return BEFORE if weight == _W else f"{BEFORE}_{weight}"
 
 
-def rows_before(hist: DataFrame, size: int, value: str, weights: tuple[str, ...] = (_W,),
-                ascending: bool = True, nulls_first: bool = False,
-                limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def bucketed(hist: DataFrame, value: str) -> DataFrame:
+    """Add the order-keeping bucket (NULL for a NULL value)."""
+    x = F.col(value).cast("double")
+    low, high = [hist.agg(f(F.col(value)).cast("double")).scalar() for f in (F.min, F.max)]
+    bits = 40                                        # resolution at the low end of the range
+    scaled = F.when(high > low, (x - low) / (high - low)).otherwise(F.lit(0.0)) * float(1 << bits)
+    return hist.withColumn(_B, F.when(F.col(value).isNotNull(), F.floor(
+        F.log2(scaled + 1) * (BUCKETS / bits)).cast("int")))
+
+
+def rows_before(hist: DataFrame, value: str, weights: tuple[str, ...] = (_W,),
+                ascending: bool = True, nulls_first: bool = False) -> DataFrame:
     """Add, per weight, the total of that weight over histogram rows strictly
     earlier in the order (``_before`` for the row count, ``_before_<w>``)."""
-    order = _order(value, ascending, nulls_first)
-    if size <= limit:
-        # bounded by the check above: one task may hold it
-        w = Window.orderBy(order)
-        return hist.select("*", *[_before(c, w).alias(before_col(c)) for c in weights])
-    tagged = (hist.orderBy(order)
-                  .withColumn(_PART, F.spark_partition_id())
-                  .checkpoint(eager=True))
-    part_totals = tagged.groupBy(_PART).agg(*[F.sum(c).alias(f"_pt_{c}") for c in weights])
-    # one row per partition: ordering them in one task is bounded
-    by_part = Window.orderBy(_PART)
-    offsets = part_totals.select(_PART, *[_before(f"_pt_{c}", by_part).alias(f"_off_{c}")
-                                          for c in weights])
-    within = Window.partitionBy(_PART).orderBy(order)
-    return (tagged.join(F.broadcast(offsets), _PART)
+    tagged = bucketed(hist, value)
+    totals = tagged.groupBy(_B).agg(*[F.sum(c).alias(f"_bt_{c}") for c in weights])
+    # at most BUCKETS + 2 rows: ordering them in one task is bounded
+    by_bucket = Window.orderBy(_order(_B, ascending, nulls_first))
+    offsets = totals.select(F.col(_B).alias("_ob"), *[_before(f"_bt_{c}", by_bucket).alias(f"_off_{c}")
+                                                      for c in weights])
+    within = Window.partitionBy(_B).orderBy(_order(value, ascending, nulls_first))
+    return (tagged.join(F.broadcast(offsets), F.col(_B).eqNullSafe(F.col("_ob")))
                   .select(*hist.columns,
                           *[(F.col(f"_off_{c}") + _before(c, within)).alias(before_col(c))
                             for c in weights]))
 
 
 def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = False,
-              nulls_first: bool = True, limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+              nulls_first: bool = True) -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value ...)`` added as column ``out`` (INT).
 
     Defaults follow the reference dialect for DESC: NULLs first.  ``df`` is
-    checkpointed first, as it is read twice (histogram and result).
+    read for the histogram and for the result; where it ends in an exchange
+    (an aggregate) that exchange is reused.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    hist, size = histogram(df, value, source_saved=True)
-    ranks = (rows_before(hist, size, value, (_W,), ascending, nulls_first, limit)
+    ranks = (rows_before(histogram(df, value), value, (_W,), ascending, nulls_first)
              .select(F.col(value).alias("_rank_value"),
                      (F.col(BEFORE) + 1).cast("int").alias(out)))
     return (df.join(ranks, df[value].eqNullSafe(ranks["_rank_value"]), "inner")
               .drop("_rank_value"))
 
 
-def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile",
-                    limit: int = SINGLE_TASK_LIMIT, source_saved: bool = False) -> DataFrame:
+def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile") -> DataFrame:
     """One-row frame: ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)``.
 
     Linear interpolation between the values at 0-based positions
     floor(p*(n-1)) and ceil(p*(n-1)); NULLs ignored; NULL on empty input.
     """
-    hist, size = histogram(df, value, drop_nulls=True, source_saved=source_saved)
-    located = rows_before(hist, size, value, (_W,), ascending=True, limit=limit)
+    hist = histogram(df, value, drop_nulls=True)
+    located = rows_before(hist, value, (_W,), ascending=True)
     # n as a scalar subquery: computed once, inlined as a value (no join)
     n = hist.agg(F.sum(_W)).scalar()
     located = located.select(value, BEFORE, _W, ((n - 1).cast("double") * F.lit(float(p))).alias("_pos"))

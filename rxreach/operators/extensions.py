@@ -12,10 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordinal import (_W, BEFORE, SINGLE_TASK_LIMIT, before_col, histogram,
-                                 percentile_cont, rows_before)
+from ..functions.ordinal import _W, BEFORE, before_col, histogram, percentile_cont, rows_before
 from ..functions.scalars import month_start, ratio_or_zero
-from ..session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -57,10 +55,12 @@ def hcp_retention_rate(prescriptions: DataFrame) -> DataFrame:
 
 def churn_indicators(prescriptions: DataFrame, cfg: ExtensionConfig = EXT) -> DataFrame:
     """Per prescriber: last week, weeks since it at the data end, churn-risk flag."""
-    last = (prescriptions.where(F.col("hcp_id").isNotNull())
-            .groupBy("hcp_id").agg(F.max("week").alias("last_week")))
+    per_hcp = prescriptions.groupBy("hcp_id").agg(F.max("week").alias("last_week"))
+    last = per_hcp.where(F.col("hcp_id").isNotNull())
     weeks = F.floor(F.datediff(F.col("data_end"), F.col("last_week")) / 7).cast("int")
-    return (last.select("hcp_id", "last_week", _data_end(prescriptions).alias("data_end"))
+    # the data end is the latest of the per-prescriber weeks, those without an id included
+    return (last.select("hcp_id", "last_week", _data_end(per_hcp.select(F.col("last_week").alias("week")))
+                        .alias("data_end"))
             .select("hcp_id", "last_week", "data_end", weeks.alias("weeks_since_last"))
             .withColumn("churn_risk", F.when(F.col("weeks_since_last") >= cfg.churn_weeks, 1)
                         .otherwise(0)))
@@ -145,16 +145,14 @@ def opportunity_territories(exposure: DataFrame) -> DataFrame:
            .select("territory_id", "hcps", "reached_hcps", "total_trx",
                    ratio_or_zero("reached_hcps", "hcps").alias("reach_rate"),
                    ratio_or_zero("total_trx", "hcps").alias("trx_per_hcp")))
-    ensure_checkpoint_dir(per.sparkSession)
-    per = per.checkpoint(eager=True)
     # the two medians are scalar subqueries (computed once, inlined)
-    median_reach = percentile_cont(per, "reach_rate", 0.5, source_saved=True).scalar()
-    median_trx = percentile_cont(per, "trx_per_hcp", 0.5, source_saved=True).scalar()
+    median_reach = percentile_cont(per, "reach_rate", 0.5).scalar()
+    median_trx = percentile_cont(per, "trx_per_hcp", 0.5).scalar()
     flag = (F.col("reach_rate") > median_reach) & (F.col("trx_per_hcp") < median_trx)
     return per.select(*per.columns, F.when(flag, 1).otherwise(0).alias("opportunity"))
 
 
-def hcp_concentration(summary: DataFrame, limit: int = SINGLE_TASK_LIMIT) -> DataFrame:
+def hcp_concentration(summary: DataFrame) -> DataFrame:
     """Per prescriber: TRx rank, cumulative TRx of all prescribers ranked at or
     above (ties included) and its share of all TRx.
 
@@ -162,12 +160,10 @@ def hcp_concentration(summary: DataFrame, limit: int = SINGLE_TASK_LIMIT) -> Dat
     totals carries both the count and the TRx of each value, so no window
     ever spans all prescribers.
     """
-    ensure_checkpoint_dir(summary.sparkSession)
     rows = (summary.where(F.col("total_trx").isNotNull())
-            .select("hcp_id", "total_trx", F.col("total_trx").alias("_t"))
-            .checkpoint(eager=True))
-    hist, size = histogram(rows, "total_trx", sums=("_t",), source_saved=True)
-    pre = rows_before(hist, size, "total_trx", (_W, "_t"), ascending=False, limit=limit)
+            .select("hcp_id", "total_trx", F.col("total_trx").alias("_t")))
+    hist = histogram(rows, "total_trx", sums=("_t",))
+    pre = rows_before(hist, "total_trx", (_W, "_t"), ascending=False)
     grand = hist.agg(F.sum("_t")).scalar()
     cum = F.col(before_col("_t")) + F.col("_t")
     per_value = pre.select(F.col("total_trx").alias("_v"),

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
 from ..functions.scalars import month_start, ratio
-from ..session import ensure_checkpoint_dir
 from .behavior import multiplicity
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
@@ -81,22 +80,18 @@ def hco_summary(affiliated: DataFrame) -> DataFrame:
                     "active_weeks"))
 
 
-def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT,
-                     summary_saved: bool = False) -> DataFrame:
+def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """One row: the continuous percentile of HCO totals used as the cut-off."""
-    return percentile_cont(summary, "total_trx", t.hco_percentile, out="trx_cutoff",
-                           source_saved=summary_saved)
+    return percentile_cont(summary, "total_trx", t.hco_percentile, out="trx_cutoff")
 
 
 def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """Summary + HIGH_VALUE (total >= cut-off) or NORMAL.
 
-    The summary is read twice (cut-off and rows), so it is checkpointed once.
+    The summary is read for the cut-off and for the rows; both reuse its exchange.
     """
-    ensure_checkpoint_dir(summary.sparkSession)
-    summary = summary.checkpoint(eager=True)
     # the cut-off is one value: a scalar subquery, computed once and inlined
-    cutoff = hco_value_cutoff(summary, t, summary_saved=True).scalar()
+    cutoff = hco_value_cutoff(summary, t).scalar()
     return summary.select(*summary.columns,
                           F.when(F.col("total_trx") >= cutoff, F.lit(HIGH))
                            .otherwise(F.lit(NORMAL)).alias("hco_segment"))
@@ -119,18 +114,26 @@ def _high_value_ids(high_value: DataFrame) -> DataFrame:
     return high_value.where(F.col("hco_segment") == HIGH).select("hco_id")
 
 
+def _high_value_sums(affiliated: DataFrame, high_value: DataFrame) -> DataFrame:
+    """(hco_id, territory_id, trx) of high-value HCOs: summed to that grain
+    before the semi-join, so a hot institution is one row per territory."""
+    sums = affiliated.groupBy("hco_id", "territory_id").agg(F.sum("trx").alias("trx"))
+    return sums.join(_high_value_ids(high_value), "hco_id", "left_semi")
+
+
 def high_value_hco_territory(affiliated: DataFrame, high_value: DataFrame) -> DataFrame:
     """Per territory: distinct high-value HCOs and their TRx."""
-    hv = affiliated.join(_high_value_ids(high_value), "hco_id", "left_semi")
-    return (hv.groupBy("territory_id")
-            .agg(F.countDistinct("hco_id").alias("high_value_hco_count"),
+    return (_high_value_sums(affiliated, high_value).groupBy("territory_id")
+            .agg(F.count("hco_id").alias("high_value_hco_count"),
                  F.sum("trx").cast("bigint").alias("total_trx"))
             .orderBy(F.col("total_trx").desc_nulls_first()))
 
 
 def territory_totals(weekly: DataFrame, master: DataFrame) -> DataFrame:
-    """TRx per territory of the base (NULL territory is a group), fan-out applied."""
-    return (weekly.join(multiplicity(master), "hcp_id", "left")
+    """TRx per territory of the base (NULL territory is a group), fan-out
+    applied to (prescriber, territory) sums."""
+    sums = weekly.groupBy("hcp_id", "territory_id").agg(F.sum("_sum").alias("_sum"))
+    return (sums.join(multiplicity(master), "hcp_id", "left")
             .groupBy("territory_id")
             .agg(F.sum(F.col("_sum") * F.coalesce(F.col("mult"), F.lit(1))).cast("bigint")
                  .alias("total_trx")))
@@ -138,7 +141,7 @@ def territory_totals(weekly: DataFrame, master: DataFrame) -> DataFrame:
 
 def territory_high_value_trx(affiliated: DataFrame, high_value: DataFrame) -> DataFrame:
     """TRx of high-value HCOs per territory."""
-    return (affiliated.join(_high_value_ids(high_value), "hco_id", "left_semi")
+    return (_high_value_sums(affiliated, high_value)
             .groupBy("territory_id").agg(F.sum("trx").cast("bigint").alias("hco_trx")))
 
 

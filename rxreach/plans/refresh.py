@@ -119,10 +119,12 @@ def main() -> None:
     ap.add_argument("--out", required=True, help="shared output folder")
     ap.add_argument("--database", default=None, help="also register outputs as catalog tables")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="default: what the launcher configured")
     ap.add_argument("--no-extensions", action="store_true")
     a = ap.parse_args()
     source = a.sf_dir or dict(kv.split("=", 1) for kv in a.inputs.split(","))
-    spark = build_session(a.master)
+    spark = build_session(a.master, a.shuffle_partitions)
     print(json.dumps(refresh(spark, source, a.out, not a.no_extensions, a.database)))
 
 

@@ -16,7 +16,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     ``spark.sql.shuffle.partitions`` to roughly (shuffle bytes / 128 MB) and
     leave AQE on so it coalesces small partitions and splits skewed ones.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -24,14 +23,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.localShuffleReader.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-        "spark.driver.memory": "16g",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master is not None and master.startswith("local"):
+        # a single machine; on a cluster these are the launcher's to set
+        conf.setdefault("spark.sql.shuffle.partitions", os.environ.get("BENCH_CPUS", "8"))
+        conf["spark.driver.memory"] = "16g"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

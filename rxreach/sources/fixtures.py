@@ -44,8 +44,6 @@ class Fixture:
     pre: tuple[tuple[str, str], ...]  # helper columns computed before the filter
     where: str | None
     columns: tuple[tuple[str, str], ...]     # output (name, expression)
-    fact: bool = True                 # a fact table (the master is a dimension)
-    row_key: str | None = None        # near-unique key of the driving table (for spread)
 
 
 HCP_MASTER = Fixture(
@@ -54,30 +52,33 @@ HCP_MASTER = Fixture(
     join_keys=(),
     source_cols={"customer": ("c_custkey", "c_nationkey", "c_mktsegment")},
     pre=(),
-    where="c_custkey % 50 <> 7",
+    where=None,
     columns=(
-        ("id", "c_custkey"),
-        ("hcp_id", "concat('N', cast(c_custkey as string))"),
+        # one customer in 50 is in no fact table under these ids (an unmapped prescriber)
+        ("id", "case when c_custkey % 50 = 7 then -c_custkey else c_custkey end"),
+        ("hcp_id", "concat(case when c_custkey % 50 = 7 then 'X' else 'N' end, cast(c_custkey as string))"),
         ("hco_id", "case when c_custkey % 9 = 0 then null "
                    "when c_nationkey % 4 = 0 then cast(1000 + c_nationkey as bigint) "
                    "else cast(c_custkey % (13 + c_custkey % 61) as bigint) end"),
         ("territory_id", "c_nationkey"),
         ("target_type", TIER),
     ),
-    fact=False,                       # a dimension: joined by broadcast or shuffle, never spread
 )
 
 PRESCRIPTIONS = Fixture(
     name="prescriptions",
     sources=("lineitem", "orders", "customer"),
     join_keys=(("l_orderkey", "o_orderkey"), ("o_custkey", "c_custkey")),
-    row_key="l_orderkey",
     source_cols={"lineitem": ("l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"),
                  "orders": ("o_orderkey", "o_custkey"),
                  "customer": ("c_custkey", "c_nationkey")},
-    pre=(("week", f"cast(date_trunc('week', {_fold('l_shipdate')}) as date)"),),
-    where=("case c_custkey % 5 when 0 then week < date '2025-07-28' "
-           "when 1 then week > date '2025-05-05' else true end"),
+    # a fifth of the prescribers stop by June 2025, a fifth start in June 2025: their months are folded
+    pre=(("week", "cast(date_trunc('week', make_date("
+                  "case when c_custkey % 5 = 1 then 2025 else 2024 + year(l_shipdate) % 2 end, "
+                  "case when c_custkey % 5 = 1 then 6 + month(l_shipdate) % 7 "
+                  "when c_custkey % 5 = 0 and year(l_shipdate) % 2 = 1 then (month(l_shipdate) - 1) % 6 + 1 "
+                  "else month(l_shipdate) end, least(day(l_shipdate), 28))) as date)"),),
+    where=None,
     columns=(
         ("hcp_id", "concat('N', cast(c_custkey as string))"),
         ("territory_id", "nullif(c_nationkey, 13)"),
@@ -90,7 +91,6 @@ PRESCRIPTIONS = Fixture(
 
 _ORDERS_CUSTOMER = dict(
     sources=("orders", "customer"),
-    row_key="o_orderkey",
     join_keys=(("o_custkey", "c_custkey"),),
     source_cols={"orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                             "o_orderpriority"),
@@ -150,11 +150,11 @@ CONGRESS = Fixture(
 )
 
 _EVENTS = dict(sources=("events",), join_keys=(), pre=(),
-               source_cols={"events": ("event_id", "user_id", "event_type", "value")})
+               source_cols={"events": ("event_id", "user_id", "value")})
 
 PAID_SEARCH = Fixture(
     name="paid_search",
-    where="event_type = 'click'",
+    where=None,
     columns=(
         ("month", MON),
         ("search_engine", "case user_id % 3 when 0 then 'Google' when 1 then 'Bing' else 'Yahoo' end"),
@@ -169,7 +169,7 @@ PAID_SEARCH = Fixture(
 
 DISPLAY = Fixture(
     name="display",
-    where="event_type = 'view'",
+    where=None,
     columns=(
         ("month", MON),
         ("package", "concat('Pkg ', cast(user_id % 5 as string))"),
@@ -187,7 +187,7 @@ DISPLAY = Fixture(
 
 WEBSITE = Fixture(
     name="website",
-    where="event_type = 'purchase'",
+    where=None,
     columns=(
         ("month", MON),
         ("source", "case user_id % 4 when 0 then 'Organic' when 1 then 'Paid' "
@@ -214,11 +214,6 @@ FIXTURES: dict[str, Fixture] = {f.name: f for f in (
 def build(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
     """Spark side: pruned scans, equi-joins, pushed-down filter, projection."""
     frames = [_tables.read(spark, sf_dir, t, fx.source_cols[t]) for t in fx.sources]
-    if fx.fact and fx.join_keys and fx.row_key:
-        # join-derived facts do real map-side work (joins, date arithmetic)
-        # before their first shuffle; spread an under-split driving scan
-        n = _tables.splits(spark, _tables.path(sf_dir, fx.sources[0]))
-        frames[0] = _tables.spread(frames[0], n, fx.row_key)
     df = frames[0]
     for right, (lk, rk) in zip(frames[1:], fx.join_keys):
         df = df.join(right, df[lk] == right[rk], "inner")
@@ -251,13 +246,6 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
-        self._derived: dict[str, DataFrame] = {}
-
-    def memo(self, key: str, build):
-        """Build a derived frame once per Inputs (e.g. a checkpointed intermediate)."""
-        if key not in self._derived:
-            self._derived[key] = build()
-        return self._derived[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in FIXTURES:

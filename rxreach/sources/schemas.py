@@ -66,7 +66,7 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 class TableInputs:
     """The eight inputs from user tables: ``{name: parquet path or table name}``.
 
-    Exposes the same attributes (and ``memo``) as the fixture ``Inputs``, so
+    Exposes the same attributes as the fixture ``Inputs``, so
     every query of ``plans.catalog`` and the refresh job run on it.
     """
 
@@ -77,12 +77,6 @@ class TableInputs:
         self.spark = spark
         self._sources = dict(sources)
         self._cache: dict[str, DataFrame] = {}
-        self._derived: dict[str, DataFrame] = {}
-
-    def memo(self, key: str, build):
-        if key not in self._derived:
-            self._derived[key] = build()
-        return self._derived[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SCHEMAS:

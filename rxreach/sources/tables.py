@@ -2,12 +2,13 @@
 
 Every read names the columns it needs, so the scan's ``ReadSchema`` holds only
 those and filters placed above it reach the Parquet reader as
-``PushedFilters``.
+``PushedFilters``.  The types of those columns are given, so building a query
+runs no job; nothing is kept between reads, so a folder that has grown is read
+whole.
 """
 
 from __future__ import annotations
 
-import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,59 +17,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+TYPES = {
+    "customer": {"c_custkey": "bigint", "c_nationkey": "int", "c_mktsegment": "string"},
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+               "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+    "lineitem": {"l_orderkey": "bigint", "l_quantity": "double", "l_returnflag": "string",
+                 "l_shipdate": "timestamp_ntz"},
+    "events": {"event_id": "bigint", "user_id": "bigint", "value": "double"},
+}
+
 
 def path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-@functools.lru_cache(maxsize=None)
-def _scan(spark: SparkSession, file_path: str) -> DataFrame:
-    """One resolved scan per session and path: Parquet schema inference runs a
-    small job per ``spark.read``, so queries share the resolved relation.  The
-    driver's tables are read-only; call ``forget_scans()`` after files change."""
-    return spark.read.parquet(file_path)
-
-
-@functools.lru_cache(maxsize=None)
-def splits(spark: SparkSession, file_path: str) -> int:
-    """Number of scan tasks for a path (plans the scan, runs no job)."""
-    try:
-        return _scan(spark, file_path).rdd.getNumPartitions()
-    except Exception:      # e.g. a Spark Connect session: no RDD view
-        return -1
-
-
-def forget_scans() -> None:
-    _scan.cache_clear()
-    splits.cache_clear()
-
-
 def read(spark: SparkSession, sf_dir: str, name: str,
          columns: tuple[str, ...] | list[str] | None = None) -> DataFrame:
-    df = _scan(spark, path(sf_dir, name))
+    known = TYPES.get(name, {})
+    if columns and all(c in known for c in columns):
+        schema = ", ".join(f"{c} {known[c]}" for c in columns)
+        return spark.read.schema(schema).parquet(path(sf_dir, name))
+    df = spark.read.parquet(path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-SPREAD_MAX_SPLITS = 8   # at 128 MB per split: inputs up to ~1 GB
-
-
-def spread(scan: DataFrame, n_splits: int, row_key: str) -> DataFrame:
-    """Give a small, under-split fact scan one partition per core.
-
-    A file with a single row group is read by a single task, and everything
-    up to the first shuffle (joins to dimensions, expansion of grouping sets,
-    partial aggregation) would then run on one core.  When the scan has fewer
-    splits than the session's parallelism *and* at most ``SPREAD_MAX_SPLITS``
-    (so the extra shuffle is small), its pruned columns are hash-partitioned
-    on ``row_key``, a near-unique row key (the order key) that no business key
-    skews: a hot prescriber or customer is spread like any other.  Hashing
-    needs no pre-sort (a round-robin repartition sorts every row to stay
-    deterministic on retry).  Anything larger already has enough splits and
-    is never reshuffled here.
-    """
-    if n_splits < 0:
-        return scan
-    target = scan.sparkSession.sparkContext.defaultParallelism
-    if n_splits < min(target, SPREAD_MAX_SPLITS + 1):
-        return scan.repartition(target, row_key)
-    return scan

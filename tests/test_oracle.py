@@ -7,8 +7,10 @@ import pytest
 import __spark_entry__ as entry_mod
 from compare import compare, duck
 from conftest import SF001, SF01
+from rxreach.plans.catalog import queries
+from rxreach.plans.oracle import oracle_sql
 
-KEYS = sorted(entry_mod.queries())
+KEYS = sorted(queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,21 +19,21 @@ def con001():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle_sf0001(spark, con001, key):
-    df = entry_mod.queries()[key](spark, SF001)
-    ok, msg = compare(df, con001, entry_mod.oracle_sql()[key])
+    df = queries()[key](spark, SF001)
+    ok, msg = compare(df, con001, oracle_sql()[key])
     assert ok, msg
 
 
 @pytest.mark.parametrize("key", ["call_rollup", "email_rollup", "omni_performance",
                                  "dependency_risk", "territory_ranking"])
 def test_matches_oracle_sf001(spark, key):
-    df = entry_mod.queries()[key](spark, SF01)
-    ok, msg = compare(df, duck(SF01), entry_mod.oracle_sql()[key])
+    df = queries()[key](spark, SF01)
+    ok, msg = compare(df, duck(SF01), oracle_sql()[key])
     assert ok, msg
 
 
@@ -47,11 +49,11 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
 
 def test_column_types_match_oracle(spark, con001):
     bad = {}
-    for key, build in entry_mod.queries().items():
+    for key, build in queries().items():
         df = build(spark, SF001)
         ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
                 for f in df.schema.fields}
-        rel = con001.sql(entry_mod.oracle_sql()[key])
+        rel = con001.sql(oracle_sql()[key])
         theirs = {c: str(t) for c, t in zip(rel.columns, rel.types)}
         if ours != theirs:
             bad[key] = (ours, theirs)

@@ -1,4 +1,4 @@
-"""Order statistics: single-task and distributed paths against brute force."""
+"""Order statistics against brute force."""
 
 from __future__ import annotations
 
@@ -35,20 +35,18 @@ def values():
     return vals
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000], ids=["distributed", "single-task"])
-def test_rank_matches_brute_force(spark, values, limit):
+def test_rank_matches_brute_force(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v long") \
               .repartition(5)
-    got = {r["i"]: r["rank"] for r in with_rank(df, "v", out="rank", limit=limit).collect()}
+    got = {r["i"]: r["rank"] for r in with_rank(df, "v", out="rank").collect()}
     want = brute_rank_desc_nulls_first(values)
     assert [got[i] for i in range(len(values))] == want
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000], ids=["distributed", "single-task"])
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.75, 0.9, 1.0])
-def test_percentile_matches_brute_force(spark, values, limit, p):
+def test_percentile_matches_brute_force(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "v long").repartition(4)
-    got = percentile_cont(df, "v", p, out="q", limit=limit).collect()[0]["q"]
+    got = percentile_cont(df, "v", p, out="q").collect()[0]["q"]
     assert got == pytest.approx(brute_percentile(values, p))
 
 
@@ -59,6 +57,6 @@ def test_percentile_of_empty_input_is_null(spark):
 
 def test_percentile_agrees_with_spark_builtin(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v long")
-    ours = percentile_cont(df, "v", 0.75, out="q", limit=0).collect()[0]["q"]
+    ours = percentile_cont(df, "v", 0.75, out="q").collect()[0]["q"]
     builtin = df.agg(F.percentile("v", 0.75).alias("q")).collect()[0]["q"]
     assert ours == pytest.approx(builtin)

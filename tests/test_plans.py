@@ -8,10 +8,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_mod
+from rxreach.plans.catalog import queries
 from conftest import SF001
 
-KEYS = sorted(entry_mod.queries())
+KEYS = sorted(queries())
 
 
 def plan_of(df) -> str:
@@ -23,7 +23,7 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_of(f(spark, SF001)) for k, f in entry_mod.queries().items()}
+    return {k: plan_of(f(spark, SF001)) for k, f in queries().items()}
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -56,11 +56,37 @@ def test_flagship_has_no_global_window(plans):
     assert "Window" not in plans["omni_performance"]
 
 
-def test_spread_only_reshuffles_small_under_split_scans(spark):
+@pytest.mark.parametrize("key", KEYS)
+def test_building_runs_no_job(spark, key):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{key}", key)
+    try:
+        queries()[key](spark, SF001)
+        assert not sc.statusTracker().getJobIdsForGroup(f"build-{key}")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_grown_folder_is_read_whole(spark, tmp_path):
     from rxreach.sources import tables
-    scan = tables.read(spark, SF001, "orders", ("o_orderkey", "o_custkey"))
-    assert "Exchange" not in plan_of(tables.spread(scan, 1000, "o_orderkey"))       # many splits
-    assert "Exchange" not in plan_of(tables.spread(scan, tables.SPREAD_MAX_SPLITS + 1, "o_orderkey"))
-    spread = plan_of(tables.spread(scan, 1, "o_orderkey"))
-    assert len(re.findall(r"Arguments: hashpartitioning\(o_orderkey", spread)) == 1   # hash on the row key
-    assert "RoundRobin" not in spread
+    spark.range(10).write.parquet(str(tmp_path / "t.parquet"))
+    assert tables.read(spark, str(tmp_path), "t").count() == 10
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert tables.read(spark, str(tmp_path), "t").count() == 15
+
+
+def test_configured_shuffle_partitions_survive(spark):
+    from rxreach.session import build_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        assert build_session().conf.get("spark.sql.shuffle.partitions") == "400"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_inputs_keep_every_row(spark):
+    from rxreach.sources import Inputs, tables
+    i = Inputs(spark, SF001)
+    for name, table in (("hcp_master", "customer"), ("prescriptions", "lineitem"), ("display", "events")):
+        assert getattr(i, name).count() == spark.read.parquet(tables.path(SF001, table)).count()
