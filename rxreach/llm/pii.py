@@ -46,7 +46,7 @@ PATTERNS = {
 }
 CLUE = {"email": "@", "phone": "+", "ip": ".", "card": ""}       # without it there is no match
 REACH = 60
-TERM = r"(?<![\p{L}\p{M}])\p{L}{4,}(?![\p{L}\p{M}])"
+TERM = r"(?<![\p{L}\p{M}\p{N}])\p{L}{4,}(?![\p{L}\p{M}\p{N}])"
 KEY = ["_id", "_th"]
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
