@@ -2,11 +2,7 @@
 
 Counts, in the initial physical plan (before AQE re-planning), the Parquet
 scans, shuffle exchanges, broadcast exchanges and Expand nodes, and checks
-that every scan reads a pruned schema.  Queries that checkpoint an
-intermediate (global order statistics) show the plan after the checkpoint;
-their earlier jobs are listed in ``jobs before``.  Writes PLANS.md.
-
-    python plan_report.py [sf_dir]
+that every scan reads a pruned schema.
 """
 
 from __future__ import annotations
@@ -20,18 +16,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rxreach.plans import catalog  # noqa: E402
-from rxreach.plans.oracle import oracle_sql  # noqa: E402
 from rxreach.session import build_session  # noqa: E402
-from rxreach.sources.tables import TABLES, path  # noqa: E402
-
-# the input spread of sources/tables.spread: a hash exchange on the driving table's order key
-SPREAD = re.compile(r"Exchange hashpartitioning\((?:l_orderkey|o_orderkey)#\d+L?, \d+\), REPARTITION")
-
-CHECKPOINTING = {"territory_ranking": 3, "hco_summary": 1, "hco_value_cutoff": 3, "high_value_hco": 4,
-                 "hco_concentration": 4, "high_value_hco_territory": 4, "territory_totals": 1,
-                 "territory_high_value_trx": 4, "dependency_risk": 4, "hco_adoption": 1,
-                 "hco_growth_segment": 1,
-                 "opportunity_territories": 5, "hcp_concentration": 3}
 
 
 def shape(df) -> dict[str, int]:
@@ -42,9 +27,7 @@ def shape(df) -> dict[str, int]:
     scans = re.findall(r"FileScan parquet \S*\[(.*?)\]", plan)
     return {
         "scans": len(scans),
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
-        - len(SPREAD.findall(plan)),
-        "spreads": len(re.findall(r"Exchange RoundRobinPartitioning", plan)) + len(SPREAD.findall(plan)),
+        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
         "expands": len(re.findall(r"\bExpand\b", plan)),
         "max_scan_cols": max((len(s.split(",")) for s in scans), default=0),
@@ -54,40 +37,24 @@ def shape(df) -> dict[str, int]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
-    for t in TABLES:
-        spark.read.parquet(path(sf_dir, t)).createOrReplaceTempView(t)
-    sqls = oracle_sql()
     lines = [
         "# PLANS — physical plan shape per query",
         "",
-        f"Generated by `plan_report.py` on `{sf_dir}` (initial plan, before AQE). 'literal' is the",
-        "reference-style SQL of `oracle_sql()` run through Spark SQL: one GROUP BY per level + UNION",
-        "ALL, key spine + left joins, row-level joins before aggregation.  Scans include the fixture",
-        "derivation of the inputs in both columns.  `cols` = most columns any scan reads (all scans",
-        "are pruned: the widest driver table has 11 columns).  `spread` = exchanges that give a",
-        "single-split input one partition per core (`sources/tables.spread`, hash on the order key);",
-        "they disappear when inputs have many splits.",
-        "",
-        "Node counts are not bytes.  On these small tables the HCP master is broadcast, so the",
-        "literal row-level join to it costs no shuffle; a national master is far above the",
-        "broadcast threshold, and then the literal form shuffles the whole prescription table by",
-        "prescriber (one hot prescriber = one huge partition), whereas the shuffles of ours carry",
-        "pre-aggregated rows (one per prescriber, per prescriber-month, ...).",
+        f"Generated by `plan_report.py` on `{sf_dir}`: the whole plan of each query before AQE, scalar",
+        "subqueries included.  AQE reuses equal exchanges, so a scan listed several times runs once.",
+        "`jobs` = Spark jobs run while the query is built (measured).  `cols` = most columns any scan reads.",
         "",
-        "| query | scans ours / literal | shuffles ours / literal | spread | broadcasts ours / literal "
-        "| Expand ours / literal | cols | jobs before |",
-        "|---|---|---|---|---|---|---|---|",
+        "| query | scans | shuffles | broadcasts | Expand | cols | jobs |",
+        "|---|---|---|---|---|---|---|",
     ]
+    tracker = spark.sparkContext.statusTracker()
     for key in catalog.BUILDERS:
-        o = shape(catalog.build(spark, sf_dir, key))
-        try:
-            lit = shape(spark.sql(sqls[key]))
-            ls = (lit["scans"], lit["shuffles"] + lit["spreads"], lit["broadcasts"], lit["expands"])
-        except Exception:
-            ls = ("-",) * 4
-        lines.append(f"| `{key}` | {o['scans']} / {ls[0]} | {o['shuffles']} / {ls[1]} | {o['spreads']} | "
-                     f"{o['broadcasts']} / {ls[2]} | {o['expands']} / {ls[3]} | "
-                     f"{o['max_scan_cols']} | {CHECKPOINTING.get(key, 0)} |")
+        spark.sparkContext.setJobGroup(key, key)
+        df = catalog.build(spark, sf_dir, key)
+        jobs = len(tracker.getJobIdsForGroup(key))
+        o = shape(df)
+        lines.append(f"| `{key}` | {o['scans']} | {o['shuffles']} | {o['broadcasts']} | {o['expands']} | "
+                     f"{o['max_scan_cols']} | {jobs} |")
         print(lines[-1], flush=True)
     with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
