@@ -51,10 +51,15 @@ def before_col(weight: str) -> str:
     return BEFORE if weight == _W else f"{BEFORE}_{weight}"
 
 
-def bucketed(hist: DataFrame, value: str) -> DataFrame:
+def extent(hist: DataFrame, value: str) -> Column:
+    """Smallest and largest value and the row count, as one scalar subquery."""
+    v = F.col(value).cast("double")
+    return hist.agg(F.struct(F.min(v).alias("low"), F.max(v).alias("high"), F.sum(_W).alias("rows"))).scalar()
+
+
+def bucketed(hist: DataFrame, value: str, ends: Column) -> DataFrame:
     """Add the order-keeping bucket (NULL for a NULL value)."""
-    x = F.col(value).cast("double")
-    low, high = [hist.agg(f(F.col(value)).cast("double")).scalar() for f in (F.min, F.max)]
+    x, low, high = F.col(value).cast("double"), ends["low"], ends["high"]
     bits = 40                                        # resolution at the low end of the range
     scaled = F.when(high > low, (x - low) / (high - low)).otherwise(F.lit(0.0)) * float(1 << bits)
     return hist.withColumn(_B, F.when(F.col(value).isNotNull(), F.floor(
@@ -65,7 +70,7 @@ def rows_before(hist: DataFrame, value: str, weights: tuple[str, ...] = (_W,),
                 ascending: bool = True, nulls_first: bool = False) -> DataFrame:
     """Add, per weight, the total of that weight over histogram rows strictly
     earlier in the order (``_before`` for the row count, ``_before_<w>``)."""
-    tagged = bucketed(hist, value)
+    tagged = bucketed(hist, value, extent(hist, value))
     totals = tagged.groupBy(_B).agg(*[F.sum(c).alias(f"_bt_{c}") for c in weights])
     # at most BUCKETS + 2 rows: ordering them in one task is bounded
     by_bucket = Window.orderBy(_order(_B, ascending, nulls_first))
@@ -101,8 +106,7 @@ def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile"
     """
     hist = histogram(df, value, drop_nulls=True)
     located = rows_before(hist, value, (_W,), ascending=True)
-    # n as a scalar subquery: computed once, inlined as a value (no join)
-    n = hist.agg(F.sum(_W)).scalar()
+    n = extent(hist, value)["rows"]     # the same subquery as the buckets', computed once
     located = located.select(value, BEFORE, _W, ((n - 1).cast("double") * F.lit(float(p))).alias("_pos"))
     lo, hi = F.floor("_pos"), F.ceil("_pos")
     holds = lambda k: (F.col(BEFORE) <= k) & (k < F.col(BEFORE) + F.col(_W))
