@@ -12,7 +12,8 @@ document, and one more of a seeded part: documents fall by hash into
 ``BUCKETS`` (4096) buckets per source, buckets below a cut repeat whole, and the
 documents of the one bucket on the cut repeat their leading share of words, so
 a source's taken words differ from its target by rounding alone.  A bucket's
-sum is combined map-side; no source is ever gathered in one task.
+sum is combined map-side, and documents meet their source's plan in ``SALTS``
+parts by bucket; no source is ever gathered in one task.
 
 Cases: null text and text without words have size 0 and take 0; null is a
 source of its own; a source of size 0 has target 0; no rows give no rows; equal
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import WORD
 
 BUCKETS = 4096
+SALTS = 64           # parts of a source when its plan meets its documents
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -84,7 +86,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
                          # share of the cut bucket's words that is taken once more
                          F.coalesce((F.col("more") - F.col("cut.upto") + F.col("cut.words"))
                                     / F.col("cut.words"), F.lit(0.0)).alias("share")))
-    out = d.join(plan, F.col("source").eqNullSafe(F.col("g_source")))
+    plan = plan.withColumn("g_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = d.join(plan, F.col("source").eqNullSafe(F.col("g_source")) & (F.col("bucket") % SALTS == F.col("g_salt")))
     extra = (F.when(F.col("bucket") < F.col("cut"), F.col("size"))
               .when(F.col("bucket") == F.col("cut"), F.floor(F.col("share") * F.col("size") + 0.5).cast("long"))
               .otherwise(0))
