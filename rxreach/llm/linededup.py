@@ -194,11 +194,13 @@ def _whole(docs: DataFrame) -> DataFrame:
     return docs.hint("merge")
 
 
-def dedup_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
-    """``docs`` with the lines that stay as ``text``, plus n_lines, n_removed."""
+def dedup_lines(docs: DataFrame, min_near: int = 16, counts: bool = True) -> DataFrame:
+    """``docs`` with the lines that stay as ``text``, plus n_lines, n_removed
+    (in place of columns so named; without ``counts`` neither)."""
     kept = saved(kept_lines(docs, min_near))
-    d = docs.withColumns({"_id": F.col("doc_id"), "_th": F.hash("text"),
-                          "_lines": F.split("text", "\n", -1)}).drop("text")
+    # the other columns travel in one struct, so their names clash with nothing
+    d = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), F.col("doc_id").alias("_id"),
+                    F.hash("text").alias("_th"), F.split("text", "\n", -1).alias("_lines"))
     out = _null_safe(_whole(d), kept, "left")
     out = out.withColumn("_kept", F.coalesce("kept", F.expr("array()").cast("array<int>")))
     blanks = F.filter("_lines", lambda x: ~x.rlike(r"[^\x20\x09-\x0D]"))
@@ -211,5 +213,6 @@ def dedup_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
     null = F.col("_lines").isNull()
     text = F.when(~null, F.array_join(F.transform("_order", lambda i: F.get("_lines", i)), "\n"))
     n, left = [F.when(null, 0).otherwise(F.size(c)) for c in ("_lines", "_order")]
-    return out.select(*[text.alias("text") if c == "text" else c for c in docs.columns],
-                      n.cast("long").alias("n_lines"), (n - left).cast("long").alias("n_removed"))
+    extra = {"n_lines": n.cast("long"), "n_removed": (n - left).cast("long")} if counts else {}
+    return out.select(*[text.alias("text") if c == "text" else F.col("_row")[c].alias(c)
+                        for c in docs.columns if c not in extra], *[v.alias(k) for k, v in extra.items()])

@@ -156,9 +156,10 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
                      F.sort_array(F.transform("spans", lambda s: F.struct(
                          s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))).alias("_spans"))
     marks = F.array(*[F.lit("" if n == "remove" else f"[{n.upper()}]") for n in ALL])
-    d = docs.withColumn("_h", F.hash("text"))
-    d = d.join(r, F.col("doc_id").eqNullSafe(F.col("_rid")) & (F.col("_h") == F.col("_rth")), "left")
-    text = F.col("text").cast("string")
+    # the row travels in one struct, so its columns' names clash with nothing
+    d = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.hash("text").alias("_h"))
+    d = d.join(r, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_h") == F.col("_rth")), "left")
+    text = F.col("_row")["text"].cast("string")
     done = F.aggregate(
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
@@ -166,5 +167,5 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
             F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
                      F.get(marks, s["kind"])).alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return d.withColumn("text", F.when(text.isNull() | (F.size("_spans") <= 0), F.col("text")).otherwise(done)).drop(
-        "_h", "_rid", "_rth", "_spans")
+    new = F.when(text.isNull() | (F.size("_spans") <= 0), F.col("_row")["text"]).otherwise(done)
+    return d.select(*[new.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])

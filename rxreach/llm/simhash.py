@@ -210,7 +210,9 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame
     found = near_duplicates(docs, shingle, radius).groupBy("class", "doc_id", "_th").agg(F.count(F.lit(1)).alias("n"))
     stay = saved(found.groupBy("class").agg(F.min(F.struct("doc_id", "_th", "n")).alias("s")).select(
         F.col("s.doc_id").alias("_rid"), F.col("s._th").alias("_rth"), F.col("s.n").alias("_n")))
-    out = docs.withColumn("_th", F.hash("text"))
-    out = out.join(stay, F.col("doc_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")))
-    again = out.where("_n > 1").dropDuplicates(["doc_id", "_th"])
-    return out.where("_n = 1").unionByName(again).drop("_th", "_rid", "_rth", "_n")
+    # the row travels in one struct, so its columns' names clash with nothing
+    out = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                      F.hash("text").alias("_th"))
+    out = out.join(stay, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")))
+    again = out.where("_n > 1").dropDuplicates(["_id", "_th"])
+    return out.where("_n = 1").unionByName(again).select("_row.*")

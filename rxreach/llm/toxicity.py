@@ -227,7 +227,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, seed: int = 5,
 
     got = (texts.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("toxic").cast("int"),
                         F.col("text").cast("string"))
-                .mapInPandas(run, "doc_id long, lang string, toxic int, rows binary").toPandas())
+                .mapInPandas(run, "doc_id long, lang string, toxic int, rows binary")
+                # one text per labelled id, however many rows repeat it: the bound holds on the driver
+                .groupBy("doc_id").agg(F.min(F.struct("rows", "lang", "toxic")).alias("r"))
+                .select("doc_id", "r.*").toPandas())
     if not len(got) or got["toxic"].min() == got["toxic"].max():
         return None
     got["rows"] = [bytes(r) for r in got["rows"]]
@@ -237,24 +240,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, seed: int = 5,
     return train([np.frombuffer(r, "<i8") for r in got["rows"]], y, langs, **options)
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
     """``docs`` with columns score, predicted (score >= 0.5) and rejected
-    (score at or over the threshold of the row's language)."""
+    (score at or over the threshold of the row's language), their names after
+    ``prefix``; columns so named are replaced."""
+    named = [prefix + c for c in ("score", "predicted", "rejected")]
     if model is None:
-        return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0), "rejected": F.lit(False)})
+        return docs.withColumns(dict(zip(named, (F.lit(0.0), F.lit(0), F.lit(False)))))
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         rows = Rows()                        # the model is 2.6 MB, whatever the input
         for texts in parts:
             yield pd.Series([model.score(rows.of(t)) for t in texts], dtype=float)
 
-    scored = docs.withColumn("score", F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)(
+    scored = docs.withColumn(named[0], F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)(
         F.col("text").cast("string")))
     limit: Column = F.lit(model.limits[None])
     for lang, at in sorted((k, v) for k, v in model.limits.items() if k is not None):
         limit = F.when(F.col("lang") == lang, F.lit(at)).otherwise(limit)
-    return scored.withColumns({"predicted": (F.col("score") >= 0.5).cast("int"),
-                               "rejected": F.col("score") >= limit})
+    return scored.withColumns({named[1]: (F.col(named[0]) >= 0.5).cast("int"),
+                               named[2]: F.col(named[0]) >= limit})
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

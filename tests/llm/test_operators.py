@@ -28,13 +28,14 @@ EDGE = [
     (5, LONG, "fr", "b", len(LONG)), (6, " \t\n ", "es", None, 4),
     (7, "mail a.b@c.example.org or 10.0.0.256 and 10.0.0.25, +49 (89) 1234-567, 4111 1111 1111 1111", "en", "c", 9),
 ]
+CLASHING = ("n", "h", "score", "rejected", "size", "kept", "n_lines", "class", "line", "_id", "_th", "_n", "_row", "_spans")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="module")
 def edge(spark):
     return spark.createDataFrame(EDGE, COLUMNS).withColumns(
-        {"n": F.lit(1), "h": F.lit("x"), "score_": F.lit(0.5), "size_": F.lit(3)})
+        {c: F.lit(k) for k, c in enumerate(CLASHING)})
 
 
 @pytest.fixture(scope="module")
@@ -178,6 +179,9 @@ def test_toxicity(spark, edge, empty):
     assert all(0 <= r["score"] <= 1 for r in toxicity.score(edge, model).collect())
     assert toxicity.score(edge, model).count() == len(EDGE) and toxicity.score(empty, model).count() == 0
     assert toxicity.fit(empty, labels.limit(0)) is None
+    # rows that repeat an id reach the driver once
+    once, thrice = [toxicity.fit(d, labels, epochs=1) for d in (df.drop("toxic"), df.union(df).union(df).drop("toxic"))]
+    assert np.array_equal(once.emb, thrice.emb)
     assert not toxicity.score(edge, None).where("rejected").count()
 
 
@@ -325,6 +329,14 @@ def test_queries_equal_their_sql(spark):
         assert ok, (name, message)
 
 
+def test_stages_return_the_columns_they_get(spark, edge):
+    import corpus_pipeline as p
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, edge, SF)
+        assert out.columns == edge.columns, name
+        assert all(r[c] == k for r in out.collect() for k, c in enumerate(CLASHING)), name
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
     out = p.run(spark, SF)
