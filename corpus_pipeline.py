@@ -22,12 +22,12 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at or over their language's threshold go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
-    return toxicity.score(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    return toxicity.score(docs, model, prefix="_toxicity_").where("not _toxicity_rejected").select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line equals or nearly equals go; n_chars follows the text."""
-    out = linededup.dedup_lines(docs)
+    out = linededup.dedup_lines(docs, counts=False)
     kind = docs.schema["n_chars"].dataType
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars")).select(*docs.columns)
 
