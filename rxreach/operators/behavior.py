@@ -50,10 +50,12 @@ def trx_week_bounds(prescriptions: DataFrame) -> DataFrame:
 
 
 def _per_prescriber(prescriptions: DataFrame) -> DataFrame:
+    """``prescriptions``: rows, or the weekly pre-aggregate (`_n` values a row)."""
+    n = F.sum("_n") if "_n" in prescriptions.columns else F.count("trx_cnt")
     return (prescriptions.groupBy("hcp_id")
             .agg(F.min("week").alias("first_week"), F.max("week").alias("last_week"),
                  F.countDistinct("week").alias("weeks_active"),
-                 F.sum("trx_cnt").alias("_sum"), F.count("trx_cnt").alias("_n")))
+                 F.sum("trx_cnt").alias("_sum"), n.alias("_n")))
 
 
 def _avg(sum_col: str, n_col: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordinal import _W, BEFORE, before_col, histogram, percentile_cont, rows_before
 from ..functions.scalars import month_start, ratio_or_zero
+from .omni import CHANNELS
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,7 @@ class ExtensionConfig:
     churn_weeks: int = 12          # weeks without TRx before the data end
     growth_window_days: int = 91   # 13 weeks
     growth_band_pct: int = 10      # +-10 % counts as stable
+    contact_bands: tuple[int, ...] = (1, 2, 4)     # least contacts a month of each band after '0'
 
 
 EXT = ExtensionConfig()
@@ -109,30 +111,63 @@ def territory_promo_vs_trx(exposure: DataFrame) -> DataFrame:
                    ("total_calls", "total_emails_sent", "total_congress_invites", "total_trx")]))
 
 
-def channel_effectiveness(channels: DataFrame) -> DataFrame:
+def channel_effectiveness(channels: DataFrame, dims: tuple[str, ...] = ()) -> DataFrame:
     """Per channel over all HCP-months: TRx per reached HCP-month, writer rate
     reached vs not reached, and a rank.  The rank's window runs over the four
-    aggregated channel rows only."""
+    aggregated channel rows only.  ``dims`` (e.g. the tier) splits all of it,
+    the rank included."""
     reached = F.col("reach_flag") == 1
     writer = F.col("total_trx") > 0
-    per = (channels.groupBy("channel")
+    per = (channels.groupBy(*dims, "channel")
            .agg(F.count(F.lit(1)).alias("hcp_months"),
                 F.sum(F.when(reached, 1).otherwise(0)).cast("bigint").alias("reached"),
                 F.sum(F.when(reached, F.col("total_trx")).otherwise(0)).cast("bigint").alias("trx_reached"),
                 F.sum(F.when(reached & writer, 1).otherwise(0)).cast("bigint").alias("writers_reached"),
                 F.sum(F.when(~reached & writer, 1).otherwise(0)).cast("bigint").alias("writers_not_reached")))
     per = per.select(
-        "channel", "hcp_months", "reached", "trx_reached",
+        *dims, "channel", "hcp_months", "reached", "trx_reached",
         ratio_or_zero("trx_reached", "reached").alias("trx_per_reached"),
         ratio_or_zero("writers_reached", "reached").alias("writer_rate_reached"),
         ratio_or_zero("writers_not_reached", F.col("hcp_months") - F.col("reached"))
         .alias("writer_rate_not_reached"))
     return per.select(
         "*", (F.col("writer_rate_reached") - F.col("writer_rate_not_reached")).alias("writer_rate_lift"),
-        F.rank().over(Window.orderBy(F.col("trx_per_reached").desc_nulls_first()))
+        F.rank().over(Window.partitionBy(*dims).orderBy(F.col("trx_per_reached").desc_nulls_first()))
          .cast("int").alias("effectiveness_rank"))
 
 
+def channel_mix(exposure: DataFrame) -> DataFrame:
+    """Per combination of channels that ever reached a prescriber: prescribers,
+    writers and TRx.  One aggregate per prescriber, then at most eight rows."""
+    reach = [F.max(f"{prefix}_reach_flag").alias(prefix) for _, prefix, _ in CHANNELS]
+    per_hcp = exposure.groupBy("hcp_id").agg(*reach, F.sum("total_trx").alias("trx"))
+    mix = F.concat_ws("+", *[F.when(F.col(prefix) == 1, label) for label, prefix, _ in CHANNELS])
+    return (per_hcp.groupBy(F.when(mix == "", "None").otherwise(mix).alias("channel_mix"))
+            .agg(F.count(F.lit(1)).alias("hcps"),
+                 F.count(F.when(F.col("trx") > 0, 1)).alias("writers"),
+                 F.sum("trx").cast("bigint").alias("total_trx"))
+            .select("*", ratio_or_zero("writers", "hcps").alias("writer_rate"),
+                    ratio_or_zero("total_trx", "hcps").alias("trx_per_hcp")))
+
+
+def contact_frequency(exposure: DataFrame, cfg: ExtensionConfig = EXT) -> DataFrame:
+    """Per band of contacts (calls, emails sent, congress invites) of an HCP in
+    a month: HCP-months, engagement rates and TRx."""
+    contacts = F.col("total_calls") + F.col("total_emails_sent") + F.col("total_congress_invites")
+    band = F.lit("0")
+    for low, after in zip(cfg.contact_bands, (*cfg.contact_bands[1:], None)):
+        label = f"{low}+" if after is None else str(low) if after == low + 1 else f"{low}-{after - 1}"
+        band = F.when(contacts >= low, label).otherwise(band)
+    return (exposure.groupBy(band.alias("contact_band"))
+            .agg(F.count(F.lit(1)).alias("hcp_months"),
+                 F.count(F.when(F.col("overall_engagement_flag") == 1, 1)).alias("engaged"),
+                 F.count(F.when(F.col("overall_deep_engagement_flag") == 1, 1)).alias("deep_engaged"),
+                 F.sum("total_trx").cast("bigint").alias("total_trx"))
+            .select("*", ratio_or_zero("engaged", "hcp_months").alias("engagement_rate"),
+                    ratio_or_zero("deep_engaged", "hcp_months").alias("deep_engagement_rate"),
+                    ratio_or_zero("total_trx", "hcp_months").alias("trx_per_hcp_month")))
+
+
 def opportunity_territories(exposure: DataFrame) -> DataFrame:
     """Territories with above-median reach rate but below-median TRx per HCP."""
     hcp = (exposure.where(F.col("territory_id").isNotNull())
@@ -183,16 +218,20 @@ def engagement_trx_correlation(channels: DataFrame) -> DataFrame:
                                 F.col("total_trx").cast("double")), 9).alias("volume_trx_corr")))
 
 
-def from_tables(i, exposure: DataFrame, channels: DataFrame, summary: DataFrame,
-                affiliated: DataFrame):
-    """Builders for the refresh job, reusing its already written tables."""
+def from_tables(prescriptions: DataFrame, exposure: DataFrame, channels: DataFrame,
+                summary: DataFrame, affiliated: DataFrame):
+    """Builders for the refresh job, reusing its already written tables
+    (``prescriptions``: rows or the weekly pre-aggregate)."""
     return {
-        "hcp_retention_rate": lambda: hcp_retention_rate(i.prescriptions),
-        "churn_indicators": lambda: churn_indicators(i.prescriptions),
+        "hcp_retention_rate": lambda: hcp_retention_rate(prescriptions),
+        "churn_indicators": lambda: churn_indicators(prescriptions),
         "hco_adoption": lambda: hco_adoption(affiliated),
-        "hco_growth_segment": lambda: hco_growth_segment(affiliated, i.prescriptions),
+        "hco_growth_segment": lambda: hco_growth_segment(affiliated, prescriptions),
         "territory_promo_vs_trx": lambda: territory_promo_vs_trx(exposure),
         "channel_effectiveness": lambda: channel_effectiveness(channels),
+        "channel_effectiveness_by_tier": lambda: channel_effectiveness(channels, ("target_type",)),
+        "channel_mix": lambda: channel_mix(exposure),
+        "contact_frequency": lambda: contact_frequency(exposure),
         "opportunity_territories": lambda: opportunity_territories(exposure),
         "hcp_concentration": lambda: hcp_concentration(summary),
         "engagement_trx_correlation": lambda: engagement_trx_correlation(channels),
@@ -201,4 +240,4 @@ def from_tables(i, exposure: DataFrame, channels: DataFrame, summary: DataFrame,
 
 __all__ = ["ExtensionConfig", "EXT", "hcp_retention_rate", "churn_indicators", "hco_adoption",
            "hco_growth_segment", "territory_promo_vs_trx", "channel_effectiveness",
-           "opportunity_territories", "hcp_concentration", "engagement_trx_correlation"]
+           "channel_mix", "contact_frequency", "opportunity_territories", "hcp_concentration", "engagement_trx_correlation"]

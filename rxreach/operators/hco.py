@@ -52,6 +52,12 @@ def weekly_trx(prescriptions: DataFrame) -> DataFrame:
             .agg(F.sum("trx_cnt").alias("_sum"), F.count("trx_cnt").alias("_n")))
 
 
+def as_prescriptions(weekly: DataFrame) -> DataFrame:
+    """The pre-aggregate in the place of prescription rows: every table that
+    sums TRx, or looks at prescribers and weeks only, comes out the same."""
+    return weekly.withColumnRenamed("_sum", "trx_cnt")
+
+
 def affiliated_trx(weekly: DataFrame, master: DataFrame) -> DataFrame:
     """Weighted HCO base: (hcp_id, hco_id, territory_id, week, trx, n).
 

@@ -98,6 +98,10 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "hco_growth_segment": lambda i: X.hco_growth_segment(_affiliated(i), _weekly(i)),
     "territory_promo_vs_trx": lambda i: X.territory_promo_vs_trx(_exposure(i)),
     "channel_effectiveness": lambda i: X.channel_effectiveness(O.channel_long(_exposure(i))),
+    "channel_effectiveness_by_tier": lambda i: X.channel_effectiveness(
+        O.channel_long(_exposure(i)), ("target_type",)),
+    "channel_mix": lambda i: X.channel_mix(_exposure(i)),
+    "contact_frequency": lambda i: X.contact_frequency(_exposure(i)),
     "opportunity_territories": lambda i: X.opportunity_territories(_exposure(i)),
     "hcp_concentration": lambda i: X.hcp_concentration(_summary(i)),
     "engagement_trx_correlation": lambda i: X.engagement_trx_correlation(O.channel_long(_exposure(i))),

@@ -75,25 +75,29 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
     publish("website_rollup", C.website_rollup(i.website))
     publish("trx_rollup", C.trx_rollup(i.prescriptions))
 
+    # prescriptions once per (prescriber, territory, week): all tables below but the
+    # row-level bases come from it
+    weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True)
+    trx = H.as_prescriptions(weekly)
+
     # omni L1 -> L2
     exposure = publish("omni_exposure", O.omni_exposure(
-        i.calls, i.emails, i.congress, i.prescriptions, i.hcp_master))
+        i.calls, i.emails, i.congress, trx, i.hcp_master))
     publish("omni_performance", O.omni_performance(exposure))
 
     # prescriber behaviour
-    publish("hcp_writing_analysis", B.hcp_writing_analysis(i.prescriptions, i.hcp_master))
+    publish("hcp_writing_analysis", B.hcp_writing_analysis(trx, i.hcp_master))
     publish("trx_base", B.trx_base(i.prescriptions, i.hcp_master))
-    summary = publish("hcp_summary", B.hcp_summary(i.prescriptions, i.hcp_master))
-    publish("monthly_active_hcps", B.monthly_active_hcps(i.prescriptions))
+    summary = publish("hcp_summary", B.hcp_summary(trx, i.hcp_master))
+    publish("monthly_active_hcps", B.monthly_active_hcps(trx))
     publish("cohort_analysis", B.cohort_analysis(summary))
     behavior = publish("hcp_behavior", B.hcp_behavior(summary, i.hcp_master))
     publish("tier_behavior_matrix", B.tier_behavior_matrix(behavior))
-    publish("territory_ranking", B.territory_ranking(i.prescriptions, i.hcp_master))
+    publish("territory_ranking", B.territory_ranking(trx, i.hcp_master))
     publish("growth_funnel", B.growth_funnel(summary))
 
     # HCO and dependency
     publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master))
-    weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True)
     affiliated = publish("affiliated_trx", H.affiliated_trx(weekly, i.hcp_master), work=True)
     hco_sum = publish("hco_summary", H.hco_summary(affiliated))
     high_value = publish("high_value_hco", H.high_value_hco(hco_sum))
@@ -105,7 +109,7 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
 
     if with_extensions:
         channels = O.channel_long(exposure)
-        for name, build in X.from_tables(i, exposure, channels, summary, affiliated).items():
+        for name, build in X.from_tables(trx, exposure, channels, summary, affiliated).items():
             publish(name, build())
     return timings
 
