@@ -6,23 +6,27 @@ places in code points, from 0, end exclusive: the text around the matches
 (``split``) gives their places.
 
 The protected entities are the values found.  The corpus estimates how strongly
-a term (a word of at least four letters) that stands within ``REACH`` code
-points of an entity reveals it: with n(e), n(t) and n(e, t) documents,
+a term (a word of any length; in scripts without spaces each two neighbouring
+characters) reveals an entity in whose document it stands, at any distance.
+With n(e), n(t) and n(e, t) documents, all counted over whole texts,
 
     disclosure = PMI(e; t) / IC(e) = ln(n(e,t) N / (n(t) n(e))) / ln(N / n(e)),
 
 1 where the term never occurs without the entity, about 0 for ordinary words.
-At ``threshold`` or more, and with ``support`` documents, the term is a span
-beside that entity: of kind ``general`` (it is replaced by its class), or of
-kind ``remove`` at ``certain`` or more.  Documents without an entity get none.
+At ``threshold`` or more, and with ``support`` documents, the term is a span in
+the texts that hold that entity, outside base spans: of kind ``general`` (it is
+replaced by its class), or of kind ``remove`` at ``certain`` or more.  Documents
+without an entity get none.
 
+Pairs that could not reach the threshold if the entity stood wherever the term
+does are dropped before they are made; that loses none.
 Counts are combined map-side; the pairs are looked up in joins that adaptive
-execution splits; no text is shuffled.
+execution splits; of texts without an entity only the words are shuffled.
 
-Cases: null and empty texts have no spans; rows equal in doc_id and text count
-as one document and each gets its result; null doc_id is an id like another;
-overlapping spans of different kinds are all reported, and in ``sanitise`` the
-one that starts first (then listed first) is replaced; no rows give no rows;
+Cases: null and empty texts have no spans; rows equal in text count as one
+document and each gets its result; null doc_id is an id like another;
+overlapping spans are all reported, and in ``sanitise`` the one that starts
+first (then listed first) is replaced and the rest of the others goes; no rows give no rows;
 extra columns pass through ``sanitise``.
 
 The patterns are those of the contract with possessive quantifiers and a guard
@@ -32,7 +36,7 @@ it); they find the same matches, without backtracking on long runs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -45,9 +49,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CLUE = {"email": "@", "phone": "+", "ip": ".", "card": ""}       # without it there is no match
-REACH = 60
-TERM = r"(?<![\p{L}\p{M}\p{N}])\p{L}{4,}(?![\p{L}\p{M}\p{N}])"
-KEY = ["_id", "_th"]
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+LETTER = r"[[\p{L}\p{M}]&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]"
+WORD = rf"(?<![\p{{N}}]|{LETTER}){LETTER}++(?!\p{{N}})"
+# neighbouring characters from the first on, and from the second on
+PAIRS = (rf"{UNSPACED}{{2}}|(?<!{UNSPACED}){UNSPACED}(?!{UNSPACED})", rf"(?<={UNSPACED}){UNSPACED}{{2}}")
+TEXT = ["_t", "_th"]
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 
@@ -99,53 +106,69 @@ def written(spans: Column, names: tuple[str, ...]) -> Column:
 ALL = KINDS + ("general", "remove")
 
 
-def _near_terms(rows: DataFrame) -> DataFrame:
-    """One row per term beside an entity: key, entity, term and its place."""
-    e = rows.select(*KEY, "text", F.explode("base").alias("s"))
-    sides = F.array(
-        F.struct(F.greatest(F.col("s.start") - REACH, F.lit(0)).alias("lo"), F.col("s.start").alias("hi")),
-        F.struct(F.col("s.end").alias("lo"), (F.col("s.end") + REACH).alias("hi")))
-    e = e.select(*KEY, F.xxhash64("s.kind", "s.value").alias("entity"), "text", F.explode(sides).alias("w"))
-    # a term cut by the edge of the reach is looked at with a letter more on each side
-    e = e.select(*KEY, "entity", F.greatest(F.col("w.lo") - 1, F.lit(0)).alias("from"), "w",
-                 F.expr("substring(text, greatest(w.lo - 1, 0) + 1, w.hi - greatest(w.lo - 1, 0) + 1)").alias("part"))
-    t = e.select(*KEY, "entity", "from", "w", F.explode(places(F.col("part"), TERM)).alias("t"))
-    return (t.select(*KEY, "entity", F.lower("t.value").alias("term"),
-                     (F.col("from") + F.col("t.start")).alias("start"),
-                     (F.col("from") + F.col("t.end")).alias("end"), "w")
-             .where("start >= w.lo and end <= w.hi").drop("w").distinct())
+def _keys(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("_t"), F.hash(text).alias("_th")]
+
+
+def _words(text: Column) -> Column:
+    """The distinct terms of a text."""
+    of = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.array_distinct(F.transform(
+        F.when(text.rlike(UNSPACED), F.concat(of(WORD), *map(of, PAIRS))).otherwise(of(WORD)), F.lower))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """One row per place of a term.  A running sum gives the places: a text may
+    have as many terms as it likes."""
+    text = F.col("text")
+    run = lambda k, p: F.struct(
+        F.lit(k).alias("k"), F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias("value"),
+        F.transform(F.split(text, p, -1), F.length).alias("gap"))
+    runs = [run(k, p) for k, p in enumerate((WORD, *PAIRS))]
+    t = texts.select(*TEXT, F.explode(F.when(text.rlike(UNSPACED), F.array(*runs)).otherwise(F.array(runs[0]))).alias("r"))
+    t = t.select(*TEXT, "r.k", F.posexplode(F.arrays_zip("r.value", "r.gap")).alias("i", "x"))
+    n = F.length("x.value")
+    end = F.sum(F.col("x.gap") + n).over(Window.partitionBy(*TEXT, "k").orderBy("i"))
+    return (t.where("x.value is not null").withColumn("end", end.cast("int"))
+             .select(*TEXT, F.lower("x.value").alias("term"), (F.col("end") - n).alias("start"), "end"))
 
 
 def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95, support: int = 3) -> DataFrame:
     """doc_id, _th (hash of the text), base and spans for every row of ``docs``."""
-    d = docs.select(F.col("doc_id").alias("_id"), F.hash("text").alias("_th"), F.col("text").cast("string").alias("text"))
-    d = d.withColumn("base", base_spans(F.col("text")))
+    d = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
+    d = d.select("_id", *_keys(F.col("text")), "text", base_spans(F.col("text")).alias("base"))
     base = saved(d.withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
-    near = saved(_near_terms(base.where(F.size("base") > 0)))
-    total = base.count()
-    # a term may be part of an entity's own value in another place; counts are of documents
-    both = (near.groupBy("entity", "term", *KEY).agg(F.lit(1).alias("one"))
-                .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support))
-    own = (base.where(F.size("base") > 0)
-               .select(*KEY, F.explode("base").alias("s"))
-               .select(*KEY, F.xxhash64("s.kind", "s.value").alias("entity")).distinct()
-               .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
-    words = (docs.select(F.explode(F.array_distinct(F.transform(
-                 F.regexp_extract_all(F.col("text").cast("string"), F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    score = F.log(F.col("n_et") * F.lit(float(total)) / F.col("n_t") / F.col("n_e")) / F.log(F.lit(float(total)) / F.col("n_e"))
-    telling = (both.join(words, "term").join(own, "entity").withColumn("disclosure", score)
-                   .where(F.col("disclosure") >= threshold)
-                   .select("entity", "term", (F.lit(len(KINDS)) + (F.col("disclosure") >= certain).cast("int")).alias("kind")))
-    terms = (near.join(telling, ["entity", "term"])
-                 .groupBy(*KEY).agg(F.collect_set(F.struct(
-                     "kind", "start", "end", F.col("term").alias("value"))).alias("terms")))
-    # a word beside two entities is one span: its stronger kind
-    ranked = F.filter("terms", lambda s: ~F.exists("terms", lambda o: (o["start"] == s["start"]) & (o["kind"] > s["kind"])))
-    r = terms.select(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"), F.sort_array(ranked).alias("terms"))
-    out = base.drop("text").join(r, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
-    return out.select(F.col("_id").alias("doc_id"), "_th", "base", F.concat(
-        "base", F.coalesce("terms", F.expr(f"cast(array() as {SPAN})"))).alias("spans"))
+    held = base.where(F.size("base") > 0)
+    once = saved(held.dropDuplicates(TEXT).drop("_id"))
+    terms = once.select(*TEXT, F.explode(_words(F.col("text"))).alias("term"))
+    total = F.lit(float(base.count()))
+    owns = once.select(*TEXT, F.explode("base").alias("s")).select(
+        *TEXT, F.xxhash64("s.kind", "s.value").alias("entity")).distinct()
+    own = owns.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    words = docs.select(F.col("text").cast("string").alias("text"))
+    words = words.select(*_keys(F.col("text")), _words(F.col("text")).alias("words"))
+    words = (words.select(F.explode("words").alias("term"))
+                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
+
+    def disclosure(n_et: Column) -> Column:
+        return F.log(n_et * total / F.col("n_t") / F.col("n_e")) / F.log(total / F.col("n_e"))
+
+    seen = terms.join(words, "term")
+    beside = saved(seen.join(owns.join(own, "entity"), TEXT)
+                       .where(disclosure(F.least("n_t", "n_e")) >= threshold))
+    telling = (beside.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et"))
+                     .withColumn("disclosure", disclosure(F.col("n_et"))).where((F.col("disclosure") >= threshold) & (F.col("n_et") >= support))
+                     .select("entity", "term", (F.lit(len(KINDS)) + (F.col("disclosure") >= certain).cast("int")).alias("kind")))
+    # a word that reveals two entities is one span: its stronger kind
+    told = beside.join(telling, ["entity", "term"]).groupBy(*TEXT, "term").agg(F.max("kind").alias("kind"))
+    spans = (_places(once).join(told, [*TEXT, "term"])
+                          .groupBy(*TEXT).agg(F.sort_array(F.collect_list(F.struct(
+                              "kind", "start", "end", F.col("term").alias("value")))).alias("terms")))
+    none = F.expr(f"cast(array() as {SPAN})")
+    outside = F.filter("terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    out = held.join(spans, TEXT, "left").select("_id", "_th", "base", F.coalesce(outside, none).alias("terms"))
+    out = out.union(base.where(F.size("base") <= 0).select("_id", "_th", "base", none))
+    return out.select(F.col("_id").alias("doc_id"), "_th", "base", F.concat("base", "terms").alias("spans"))
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
@@ -162,7 +185,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     text = F.col("_row")["text"].cast("string")
     done = F.aggregate(
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
+        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(
             s["end"].alias("at"),
             F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
                      F.get(marks, s["kind"])).alias("out"))),

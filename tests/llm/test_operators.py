@@ -275,6 +275,26 @@ def test_pii(spark, docs, edge, empty):
     assert pii.find(empty).count() == 0 and pii.sanitise(edge).count() == len(EDGE)
 
 
+def told(spark, rows, **options):
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()
+    text = dict(rows)
+    return {r["doc_id"]: {text[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] >= 4} for r in found}
+
+
+PLAIN = [(1000 + i, f"some ordinary words about the weather of day w{i} and so on") for i in range(300)]
+
+
+def test_pii_terms_of_any_length_at_any_place(spark):
+    far = "ordinary words about the weather " * 20
+    rows = [(i, f"Lee {far} write to me@site.org {far} so on {'and ' * i} 王小明") for i in range(1, 7)] + PLAIN
+    got = told(spark, rows)
+    assert all({"Lee", "王小", "小明"} <= got[i] for i in range(1, 7)), got[1]
+    assert all(got[i].isdisjoint({"ordinary", "words", "about", "weather", "so", "and"}) for i in range(1, 7))
+    assert not any(got[i] for i, _ in PLAIN)
+    out = pii.sanitise(spark.createDataFrame(rows[:6] + PLAIN, "doc_id long, text string")).where("doc_id = 1").first()
+    assert not set("王小明") & set(out["text"]) and "Lee" not in out["text"]
+
+
 def one_edit(a, b):
     if len(a) > len(b):
         a, b = b, a
