@@ -8,15 +8,18 @@ places in code points, from 0, end exclusive: the text around the matches
 The protected entities are the values found.  The corpus estimates how strongly
 a term (a word of any length; in scripts without spaces each two neighbouring
 characters) reveals an entity in whose document it stands, at any distance.
-With n(e), n(t) and n(e, t) documents, all counted over whole texts,
+With N, n(e), n(t) and n(e, t) distinct texts, all four counted over whole texts,
 
-    disclosure = PMI(e; t) / IC(e) = ln(n(e,t) N / (n(t) n(e))) / ln(N / n(e)),
+    disclosure = PMI(e; t) / IC(e) = ln(P(e|t) / P(e)) / ln(1 / P(e)),
+    P(e) = n(e) / N,  P(e|t) = (n(e,t) + P(e)) / (n(t) + 1):
 
-1 where the term never occurs without the entity, about 0 for ordinary words.
-At ``threshold`` or more, and with ``support`` documents, the term is a span in
-the texts that hold that entity, outside base spans: of kind ``general`` (it is
-replaced by its class), or of kind ``remove`` at ``certain`` or more.  Documents
-without an entity get none.
+one more text with t, in which e is as likely as anywhere, stands for what the
+corpus has not shown.  It is near 1 where the term never occurs without the
+entity (ln 2 / ln N less for one text), about 0 for ordinary words; no number of
+texts is asked for.  At ``threshold`` or more the term is a span in the texts
+that hold that entity, outside base spans: of kind ``general`` (it is replaced by
+its class), or of kind ``remove`` at ``certain`` or more.  Documents without an
+entity get none.  The kind of a value is not protected: its class is published.
 
 Pairs that could not reach the threshold if the entity stood wherever the term
 does are dropped before they are made; that loses none.
@@ -133,7 +136,7 @@ def _places(texts: DataFrame) -> DataFrame:
              .select(*TEXT, F.lower("x.value").alias("term"), (F.col("end") - n).alias("start"), "end"))
 
 
-def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95, support: int = 3) -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95) -> DataFrame:
     """doc_id, _th (hash of the text), base and spans for every row of ``docs``."""
     d = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
     d = d.select("_id", *_keys(F.col("text")), "text", base_spans(F.col("text")).alias("base"))
@@ -141,23 +144,25 @@ def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95, support
     held = base.where(F.size("base") > 0)
     once = saved(held.dropDuplicates(TEXT).drop("_id"))
     terms = once.select(*TEXT, F.explode(_words(F.col("text"))).alias("term"))
-    total = F.lit(float(base.count()))
+    total = F.lit(float(base.select(*TEXT).distinct().count()))
     owns = once.select(*TEXT, F.explode("base").alias("s")).select(
         *TEXT, F.xxhash64("s.kind", "s.value").alias("entity")).distinct()
     own = owns.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # equal texts are one; their words, not the texts, are shuffled
     words = docs.select(F.col("text").cast("string").alias("text"))
-    words = words.select(*_keys(F.col("text")), _words(F.col("text")).alias("words"))
+    words = words.select(*_keys(F.col("text")), _words(F.col("text")).alias("words")).dropDuplicates(TEXT)
     words = (words.select(F.explode("words").alias("term"))
                   .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
 
     def disclosure(n_et: Column) -> Column:
-        return F.log(n_et * total / F.col("n_t") / F.col("n_e")) / F.log(total / F.col("n_e"))
+        p = F.col("n_e") / total
+        return 1 + F.log((n_et + p) / (F.col("n_t") + 1)) / -F.log(p)
 
     seen = terms.join(words, "term")
     beside = saved(seen.join(owns.join(own, "entity"), TEXT)
                        .where(disclosure(F.least("n_t", "n_e")) >= threshold))
     telling = (beside.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et"))
-                     .withColumn("disclosure", disclosure(F.col("n_et"))).where((F.col("disclosure") >= threshold) & (F.col("n_et") >= support))
+                     .withColumn("disclosure", disclosure(F.col("n_et"))).where(F.col("disclosure") >= threshold)
                      .select("entity", "term", (F.lit(len(KINDS)) + (F.col("disclosure") >= certain).cast("int")).alias("kind")))
     # a word that reveals two entities is one span: its stronger kind
     told = beside.join(telling, ["entity", "term"]).groupBy(*TEXT, "term").agg(F.max("kind").alias("kind"))

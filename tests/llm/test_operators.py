@@ -295,6 +295,16 @@ def test_pii_terms_of_any_length_at_any_place(spark):
     assert not set("王小明") & set(out["text"]) and "Lee" not in out["text"]
 
 
+def test_pii_needs_no_number_of_documents(spark):
+    one = [(1, "some ordinary words by Kowalski of the weather, kim@one.org and so on")]
+    want = told(spark, one + PLAIN)[1]
+    assert "Kowalski" in want and "ordinary" not in want
+    # copies are one document: fifty of them tell no more than one
+    copies = [(i, one[0][1]) for i in range(1, 51)]
+    got = told(spark, copies + PLAIN)
+    assert all(got[i] == want for i in range(1, 51))
+
+
 def one_edit(a, b):
     if len(a) > len(b):
         a, b = b, a
