@@ -19,7 +19,8 @@ entity (ln 2 / ln N less for one text), about 0 for ordinary words; no number of
 texts is asked for.  At ``threshold`` or more the term is a span in the texts
 that hold that entity, outside base spans: of kind ``general`` (it is replaced by
 its class), or of kind ``remove`` at ``certain`` or more.  Documents without an
-entity get none.  The kind of a value is not protected: its class is published.
+entity get none.  An entity that every text holds carries no information and
+reveals nothing.  The kind of a value is not protected: its class is published.
 
 Pairs that could not reach the threshold if the entity stood wherever the term
 does are dropped before they are made; that loses none.
@@ -156,7 +157,7 @@ def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95) -> Data
 
     def disclosure(n_et: Column) -> Column:
         p = F.col("n_e") / total
-        return 1 + F.log((n_et + p) / (F.col("n_t") + 1)) / -F.log(p)
+        return 1 + F.log((n_et + p) / (F.col("n_t") + 1)) / F.nullif(-F.log(p), F.lit(0.0))
 
     seen = terms.join(words, "term")
     beside = saved(seen.join(owns.join(own, "entity"), TEXT)

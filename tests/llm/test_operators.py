@@ -305,6 +305,13 @@ def test_pii_needs_no_number_of_documents(spark):
     assert all(got[i] == want for i in range(1, 51))
 
 
+def test_pii_counts_rows_once_and_a_value_everywhere_tells_nothing(spark):
+    rows = [(i, f"bluebird sings at me@site.org of number n{i}") for i in range(5)]
+    got = told(spark, rows + [(2000, "bluebird of day")] * 50 + PLAIN)
+    assert "bluebird" in got[0]
+    assert told(spark, rows) == {i: set() for i in range(5)}
+
+
 def one_edit(a, b):
     if len(a) > len(b):
         a, b = b, a
