@@ -10,6 +10,12 @@ where a heading leads to a block that is in or where a block of ordinary prose
 stands between the two.  Where a page marks its article, blocks outside it are
 out and undecided blocks look for neighbours inside it.
 
+Class and id names bar by their parts, except names of a state (``no-sidebar``,
+``has-comments``, ``with-social``); a long block of prose with few links and many
+stop words overrules such a name.  A head ends where the body or the first tag
+that can't stand in it begins.  A container that bars by its tag and is never
+closed on the page bars no such prose either.
+
 Stop words are function words of the languages below; a word counts by its
 letters, so marks glued to it don't hide it.
 
@@ -35,10 +41,12 @@ ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 LETTERS = re.compile(r"[^\W\d_]+")
 RAW = frozenset("script style noscript template svg math iframe object textarea title select canvas audio video".split())
 OUT = frozenset("nav footer aside form button menu dialog head fieldset".split())
+IN_HEAD = RAW | frozenset("head html meta link base basefont bgsound".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = OUT | frozenset("div section article main header ul ol dl table blockquote figure details center body html".split())
 BLOCKS = CONTAINERS | HEADINGS | frozenset(
     "p li dd dt tr td th thead tbody tfoot caption pre hr figcaption summary address option legend".split())
+BARRING = re.compile(rf"<(/?)({'|'.join(sorted(OUT - {'head'} | {'header'}))})(?=[\s/>])", re.I)
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 OUT_NAMES = frozenset(
     "ad ads advert advertisement adverts banner sponsor sponsored promo promotion sidebar menu nav navbar navigation "
@@ -50,41 +58,58 @@ STOP = frozenset((
     "der die das und ist nicht ein eine zu den mit von auf für im dem sich des auch als wie bei oder aus "
     "le la les de des et un une du en est que qui dans pour pas sur au avec ce il par plus ne se "
     "el los las del y una por con para es se lo su al como más pero o").split())
+STATE = re.compile(r"(?:no|not|non|has|have|with|without)[-_]")
+PROSE, FEW_LINKS, DENSE = 200, 0.1, 0.25   # overrule a name: code points; share of linked text; share of stop words
 SHORT, LINKS, STOPS = 70, 0.4, 0.12      # code points; share of linked text; share of stop words
 
 
 class Block:
     __slots__ = ("text", "linked", "heading", "out", "article", "label")
 
-    def __init__(self, text: str, linked: int, heading: bool, out: bool, article: bool):
+    def __init__(self, text: str, linked: int, heading: bool, out: int, article: bool):
         self.text, self.linked, self.heading, self.out, self.article = text, linked, heading, out, article
         self.label: bool | None = None
 
 
-def _barred(tag: str, attrs: str, article: bool) -> bool:
+def _barred(tag: str, attrs: str, article: bool) -> int:
+    """0: not barred; 1: by a name, which prose overrules; 2: by tag, role or as hidden."""
     if tag in OUT or tag == "header" and not article:
-        return True
+        return 2
     if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    named = 0
     for name, *values in ATTR.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value in OUT_ROLES or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and not OUT_NAMES.isdisjoint(re.split(r"[\s_-]+|(?<=[a-z])\d+", value)):
-            return True
-    return " hidden" in attrs.lower().replace("=", " ") and "overflow" not in attrs.lower()
+            return 2
+        if name in ("class", "id") and any(not OUT_NAMES.isdisjoint(re.split(r"[_-]+|(?<=[a-z])\d+", token))
+                                           for token in value.split() if not STATE.match(token)):
+            named = 1
+    return 2 if " hidden" in attrs.lower().replace("=", " ") and "overflow" not in attrs.lower() else named
+
+
+def _unclosed(page: str) -> set[int]:
+    """Places of the tags that bar by themselves and have no close tag of their own."""
+    still: dict[str, list[int]] = {}
+    for m in BARRING.finditer(page):
+        opened = still.setdefault(m[2].lower(), [])
+        if not m[1]:
+            opened.append(m.start())
+        elif opened:
+            opened.pop()
+    return {at for opened in still.values() for at in opened}
 
 
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []             # tag, barred, article
+    stack: list[tuple[str, int, bool]] = []              # tag, barred, article
     text: list[str] = []
     state = {"linked": 0, "heading": False, "link": False, "br": False}
 
     def end() -> None:
         whole = " ".join(html.unescape("".join(text)).split())
         if whole:
-            barred, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            barred, article = (stack[-1][1], stack[-1][2]) if stack else (0, False)
             out.append(Block(whole, min(state["linked"], len(whole)), state["heading"], barred, article))
         text.clear()
         state.update(linked=0, br=False)
@@ -98,6 +123,7 @@ def blocks(page: str) -> list[Block]:
                     state["linked"] += len(" ".join(html.unescape(part).split()))
 
     at, size = 0, len(page)
+    unclosed = _unclosed(page)
     while at < size:
         m = TOKEN.search(page, at)
         say(page[at:m.start()] if m else page[at:])
@@ -106,6 +132,9 @@ def blocks(page: str) -> list[Block]:
         at, tag = m.end(), (m["tag"] or "").lower()
         if not tag:
             continue
+        if stack and stack[-1][0] == "head" and not m["close"] and tag not in IN_HEAD:
+            end()
+            stack.pop()
         if tag in RAW:
             if not m["close"] and not (m["attrs"] or "").endswith("/"):
                 shut = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -124,8 +153,11 @@ def blocks(page: str) -> list[Block]:
             if tag not in CONTAINERS:
                 continue
             if not m["close"]:
-                barred, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                stack.append((tag, barred or _barred(tag, m["attrs"], article), article or tag in ("article", "main")))
+                barred, article = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                own = _barred(tag, m["attrs"], article)
+                if own == 2 and m.start() in unclosed:
+                    own = 1
+                stack.append((tag, max(barred, own), article or tag in ("article", "main")))
             elif any(s[0] == tag for s in stack):
                 while stack.pop()[0] != tag:
                     pass
@@ -137,6 +169,8 @@ def _first_pass(b: Block) -> None:
     links = b.linked / len(b.text)
     words = LETTERS.findall(b.text.lower())
     stops = sum(w in STOP for w in words) / max(1, len(words))
+    if b.out == 1 and len(b.text) >= PROSE and links <= FEW_LINKS and stops >= DENSE:
+        b.out = 0
     if b.out or links > LINKS:
         b.label = False
     elif len(b.text) < SHORT:

@@ -200,6 +200,17 @@ def test_html(spark):
     assert [r["text"] for r in html.main_text(df).orderBy("page_id").collect()] == [html.extract(page), ""]
 
 
+def test_html_keeps_articles_in_odd_containers():
+    prose = "This is the story of a man and his dog in the town that they came to on the way. " * 4
+    body = f"<p>{prose}</p><p>{prose}</p>"
+    for page in (f"<html><head><title>t</title><body>{body}", f"<html><head><title>t</title>{body}",
+                 f"<body><nav><a href=x>Home</a><div>{body}</div>",
+                 f"<body><nav><a href=x>Home</a><div>{body}</div><NAV><a href=y>More</a></NAV>",
+                 *(f"<body><div class='{c}'>{body}</div>" for c in ("content no-sidebar", "has-comments", "with-social", "social"))):
+        assert html.extract(page).count("story") == 8, page[:60]
+    assert "Buy" not in html.extract(f"<body><div class='no-sidebar ad'>Buy it now</div>{body}")
+
+
 def test_substrings(docs, edge, empty, spark):
     def brute(rows):
         seen, out = set(), {}
