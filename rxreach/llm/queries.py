@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, html, linededup, mixing, pii, simhash, substrings, tokens, toxicity
+from . import decontam, embeddings, html, linededup, mixing, pii, repair, simhash, substrings, tokens, toxicity
 from .common import table
 
 
@@ -74,10 +74,32 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with the damage of op13's contract (nulls: one space)."""
+    said = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    hit = F.crc32(F.concat(said["conv_id"], F.lit(":"), said["turn"])) % 20
+    text = F.when(hit == 1, "").when(hit == 2, F.translate(said["text"], ".!?", "")).otherwise(said["text"])
+    times = F.when(hit == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return conversations.where(hit != 0).select(
+        "conv_id", "turn", F.when(hit == 4, "user").otherwise(said["role"]).alias("role"),
+        text.alias("text"), F.explode(times).alias("_copy")).drop("_copy")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.report(damaged(rows)).withColumnRenamed("conv_id", "_id")
+    ids = rows.select("conv_id").distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["_id"]), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("repaired", F.lit("")).cast("binary"), 256).alias("repaired_sha256"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_mixing, op2_simhash, op3_embedding, op4_decontamination, op5_toxicity,
-        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup)}
+        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup, op13_repair)}
 
 
 OP1 = r"""
@@ -169,5 +191,63 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+def _paid(v: str, cost: str, letter: str) -> str:
+    """A path's text (cost in nine digits, then its audit) after one more edit."""
+    return f"lpad((left({v}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({v}, 10) || '{letter}'"
+
+
+def _any(letter: str, cost: str, *kinds: int) -> str:
+    return "least(" + ", ".join(_paid(f"a.s{q}", cost, letter) for q in kinds) + ", NULL)"
+
+
+# the least text per last kind written (s0 none, s1 system, s2 user, s3 assistant), edit after edit;
+# 'i' stands for a place where a turn may be inserted
+OP13 = rf"""
+WITH src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hit AS (SELECT *, xor(4294967295, list_reduce(list_transform(string_split(k, ''), lambda c: ord(c)::BIGINT),
+          lambda crc, b: list_reduce(range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, b)),
+          4294967295::BIGINT)) % 20 AS h FROM src),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hit WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS p FROM d),
+f AS (SELECT *, left(role, 1) AS ini, left(lag(role) OVER (PARTITION BY conv_id ORDER BY p), 1) || left(role, 1) AS pair,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (p > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+             list(CASE WHEN fault IN ('blank', 'duplicate') THEN '0' WHEN ini NOT IN ('s', 'u', 'a') THEN CASE fault WHEN '' THEN 'x' ELSE 'X' END
+                  WHEN fault = '' THEN ini ELSE upper(ini) END ORDER BY p) AS codes,
+             list(role ORDER BY p) AS roles, list(text ORDER BY p) AS texts FROM f GROUP BY conv_id),
+best AS (SELECT *, list_reduce(list_concat(flatten(list_transform(codes, lambda x: ['i', 'i', x])), ['i', 'i']), lambda a, x:
+    CASE WHEN x = 'i' THEN {{'s0': a.s0, 's1': a.s1, 's2': least(a.s2, {_any('I', '5', 0, 1, 3)}), 's3': least(a.s3, {_any('I', '5', 2)})}}
+    ELSE {{'s0': {_paid('a.s0', '2', 'D')},
+      's1': least({_paid('a.s1', '2', 'D')}, CASE WHEN lower(x) = 's' THEN {_any('K', "(x = 'S')::INT * 5", 0)} END),
+      's2': least({_paid('a.s2', '2', 'D')}, CASE WHEN x <> '0' THEN {_any('R', "(x <> lower(x))::INT * 5 + 1", 0, 1, 3)} END,
+                  CASE WHEN lower(x) = 'u' THEN {_any('K', "(x = 'U')::INT * 5", 0, 1, 3)} END),
+      's3': least({_paid('a.s3', '2', 'D')}, CASE WHEN x <> '0' THEN {_any('R', "(x <> lower(x))::INT * 5 + 1", 2)} END,
+                  CASE WHEN lower(x) = 'a' THEN {_any('K', "(x = 'A')::INT * 5", 2)} END)}} END,
+    {{'s0': '000000000', 's1': NULL::VARCHAR, 's2': NULL::VARCHAR, 's3': NULL::VARCHAR}}) AS b FROM c),
+told AS (SELECT *, left(least(b.s0, b.s3), 9)::BIGINT AS cost, substr(least(b.s0, b.s3), 10) AS audit FROM best),
+done AS (SELECT *, list_reduce(string_split(audit, ''), lambda a, e:
+    CASE e WHEN 'D' THEN {{'i': a.i + 1, 'q': a.q, 't': a.t}}
+      WHEN 'K' THEN {{'i': a.i + 1, 'q': left(roles[a.i], 1), 't': list_append(a.t, roles[a.i] || ':' || texts[a.i])}}
+      WHEN 'R' THEN {{'i': a.i + 1, 'q': CASE a.q WHEN 'u' THEN 'a' ELSE 'u' END,
+                     't': list_append(a.t, CASE a.q WHEN 'u' THEN 'assistant:' ELSE 'user:' END || texts[a.i])}}
+      WHEN 'I' THEN {{'i': a.i, 'q': CASE a.q WHEN 'u' THEN 'a' ELSE 'u' END,
+                     't': list_append(a.t, CASE a.q WHEN 'u' THEN 'assistant:' ELSE 'user:' END)}}
+      ELSE a END, {{'i': 1, 'q': '', 't': []::VARCHAR[]}}).t AS lines FROM told)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN done ON i.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10}
+    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10, "op13_repair": OP13}
