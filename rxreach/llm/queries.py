@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, html, linededup, mixing, pii, repair, simhash, substrings, tokens, toxicity
+from . import chat, decontam, embeddings, html, linededup, mixing, pii, repair, simhash, substrings, tokens, toxicity
 from .common import table
 
 
@@ -74,6 +74,25 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that quotes control strings, read back from the formatted windows."""
+    quoting = spark.sql("""SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'),
+                           (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)""")
+    rows = table(spark, sf_dir, "conversations").select(*quoting.columns).union(quoting)
+    found = chat.windows(rows, budget=512, history=128, history_turns=2)
+    whole = found.groupBy("conv_id").agg(F.sort_array(F.collect_list(
+        F.struct("section", "span", "formatted", "n_repeated", "loss"))).alias("w"))
+    turns = F.flatten(F.transform("w", lambda w: chat.read_back(w["formatted"], w["n_repeated"])))
+    loss = F.array_join(F.flatten(F.transform("w", lambda w: chat.targets(w["formatted"], w["loss"]))), "")
+    whole = whole.select("conv_id", turns.alias("turns"), loss.alias("learnt"), F.aggregate(
+        F.transform("w.formatted", F.length), F.lit(0).cast("long"), lambda a, n: a + n).alias("formatted_chars"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return whole.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2(F.col("learnt").cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars")
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """``conversations`` with the damage of op13's contract (nulls: one space)."""
     said = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
@@ -99,7 +118,7 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_mixing, op2_simhash, op3_embedding, op4_decontamination, op5_toxicity,
-        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup, op13_repair)}
+        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup, op12_chat, op13_repair)}
 
 
 OP1 = r"""
@@ -191,6 +210,35 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+# windows as chat.windows draws them, for turns numbered under 1,024
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS k,
+             length('[ROLE]' || role || '[/ROLE]' || text || '</s>')
+               + len(regexp_extract_all(role || chr(10) || text, '<\\*/?s>|\[\\*/?(?:ROLE|INST|SYS)\]')) AS chars FROM t),
+h AS (SELECT conv_id, arg_min(p, p) AS p, arg_min(k, p) AS k, arg_min(chars, p) AS chars FROM o WHERE role = 'system' GROUP BY conv_id),
+e AS (SELECT o.*, sum(o.k) OVER (PARTITION BY o.conv_id ORDER BY o.p) AS upto,
+             greatest(512 - 128 - coalesce(h.k, 0), 128) AS room, h.p AS hp, h.chars AS hchars
+      FROM o LEFT JOIN h ON o.conv_id IS NOT DISTINCT FROM h.conv_id),
+i AS (SELECT *, (upto - 1) // room AS into_, (upto - k) // room AS from_ FROM e),
+j AS (SELECT *, 2 * into_ + CASE WHEN sum(k) OVER (PARTITION BY conv_id, into_) > room AND from_ < into_ THEN 0 ELSE 1 END AS span FROM i),
+s AS (SELECT conv_id, span, min(p) AS first_, min(upto - k) AS before_, 3 + sum(chars) AS chars, any_value(hp) AS hp, any_value(hchars) AS hchars
+      FROM j GROUP BY conv_id, span),
+f AS (SELECT s.conv_id, s.span, any_value(s.chars) + coalesce(sum(j.chars), 0) + CASE WHEN any_value(s.hp) < any_value(s.first_) THEN any_value(s.hchars) ELSE 0 END AS chars
+      FROM s LEFT JOIN j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND j.p IN (s.first_ - 1, s.first_ - 2)
+        AND j.role <> 'system' AND s.before_ - (j.upto - j.k) <= 128 GROUP BY s.conv_id, s.span),
+g AS (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM f GROUP BY conv_id)
+SELECT o.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       any_value(g.formatted_chars) AS formatted_chars
+FROM o JOIN g ON o.conv_id IS NOT DISTINCT FROM g.conv_id GROUP BY o.conv_id
+"""
+
+
 def _paid(v: str, cost: str, letter: str) -> str:
     """A path's text (cost in nine digits, then its audit) after one more edit."""
     return f"lpad((left({v}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({v}, 10) || '{letter}'"
@@ -250,4 +298,5 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN done ON i.conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10, "op13_repair": OP13}
+    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10, "op12_chat": OP12,
+            "op13_repair": OP13}
