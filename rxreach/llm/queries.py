@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embeddings, html, linededup, mixing, pii, repair, simhash, substrings, tokens, toxicity
+from . import chat, decontam, embeddings, html, linededup, mixing, pii, repair, search, simhash, substrings, tokens, toxicity
 from .common import table
 
 
@@ -74,6 +74,10 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that quotes control strings, read back from the formatted windows."""
     quoting = spark.sql("""SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'),
@@ -118,7 +122,7 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_mixing, op2_simhash, op3_embedding, op4_decontamination, op5_toxicity,
-        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup, op12_chat, op13_repair)}
+        op6_html, op7_substring, op8_tokens, op9_pii, op10_linededup, op11_search, op12_chat, op13_repair)}
 
 
 OP1 = r"""
@@ -210,6 +214,26 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qt AS (SELECT i, item_id, t, count(*) AS times FROM q GROUP BY i, item_id, t),
+n AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+tf AS (SELECT r, doc_id, t, n, count(*) AS tf FROM (SELECT r, doc_id, unnest(w) AS t, len(w) AS n FROM d)
+       WHERE t IN (SELECT t FROM qt) GROUP BY r, doc_id, t, n),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+wt AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, n),
+g AS (SELECT r, doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)) AS part FROM tf, n),
+s AS (SELECT i, item_id, r, doc_id, sum(times * w * part)::BIGINT AS score
+      FROM g JOIN qt USING (t) JOIN wt USING (t) GROUP BY i, item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 # windows as chat.windows draws them, for turns numbered under 1,024
 OP12 = r"""
 WITH t AS (
@@ -298,5 +322,5 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN done ON i.conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10, "op12_chat": OP12,
+    return {"op1_mixing": OP1, "op3_embedding": OP3, "op7_substring": OP7, "op10_linededup": OP10, "op11_search": OP11, "op12_chat": OP12,
             "op13_repair": OP13}
