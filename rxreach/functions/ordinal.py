@@ -3,17 +3,19 @@
 ``RANK() OVER (ORDER BY x)`` and ``PERCENTILE_CONT`` are global: written as a
 plain window or as the ``percentile`` aggregate, Spark moves every row (or
 every distinct value) to a single task.  Both are computed here from a
-histogram of the ordered value, lazily and the same way at every size:
+histogram of the ordered value, the same way at every size:
 
 1. ``groupBy(x).count()``: one row per distinct value, partial-aggregated
-   map-side, so a value held by a third of all rows costs nothing extra.
-2. Each value falls into one of at most ``BUCKETS`` buckets that keep the
-   order: the logarithm of its distance from the smallest value, relative to
-   the whole range (min and max are scalar subqueries), so long tails spread.
-3. Bucket totals (a bounded table) get their prefix sums in one window; a
-   window *within* each bucket gives the rest.
-
-Ranks and interpolated percentiles follow exactly from those counts.
+   map-side, so a value held by a third of all rows costs nothing extra.  The
+   histogram is written once (``functions/once.py``).
+2. ``BUCKETS`` ranges of about equally many distinct values: their edges are
+   quantiles of the histogram (``approx_percentile``).  However the values
+   cluster, no range holds much more than its share.
+3. Range totals (a bounded table) get their prefix sums in one window; a
+   window *within* each range gives the rest.
+
+Ranks and interpolated percentiles follow exactly from those counts: the edges
+decide only which task counts what.
 """
 
 from __future__ import annotations
@@ -21,7 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4000
+from .once import once
+
+BUCKETS = 256
+ACCURACY = 20 * BUCKETS       # an edge is off by at most 1/20 of a range
 
 _B = "_bucket"
 _W = "_w"
@@ -37,9 +42,9 @@ def _order(c: str, ascending: bool, nulls_first: bool) -> Column:
 
 def histogram(df: DataFrame, value: str, drop_nulls: bool = False,
               sums: tuple[str, ...] = ()) -> DataFrame:
-    """Histogram (value, _w[, sum of each of ``sums``])."""
+    """Histogram (value, _w[, sum of each of ``sums``]), written once."""
     src = df.where(F.col(value).isNotNull()) if drop_nulls else df
-    return src.groupBy(value).agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums])
+    return once(src.groupBy(value).agg(F.count(F.lit(1)).alias(_W), *[F.sum(c).alias(c) for c in sums]))
 
 
 def _before(weight: str, window: Window) -> Column:
@@ -51,28 +56,31 @@ def before_col(weight: str) -> str:
     return BEFORE if weight == _W else f"{BEFORE}_{weight}"
 
 
-def extent(hist: DataFrame, value: str) -> Column:
-    """Smallest and largest value and the row count, as one scalar subquery."""
-    v = F.col(value).cast("double")
-    return hist.agg(F.struct(F.min(v).alias("low"), F.max(v).alias("high"), F.sum(_W).alias("rows"))).scalar()
+def quantile_edges(hist: DataFrame, value: str) -> Column:
+    """The ``BUCKETS - 1`` inner edges, fetched once: a literal array, so every
+    use sees the same ones."""
+    shares = ", ".join(str(k / BUCKETS) for k in range(1, BUCKETS))
+    edges = hist.agg(F.expr(f"percentile_approx(`{value}`, array({shares}), {ACCURACY})").alias("edges")).first()["edges"]
+    kind = hist.schema[value].dataType.simpleString()
+    return F.expr(f"array({', '.join(f"cast('{x}' as {kind})" for x in edges or [])})")
 
 
-def bucketed(hist: DataFrame, value: str, ends: Column) -> DataFrame:
-    """Add the order-keeping bucket (NULL for a NULL value)."""
-    x, low, high = F.col(value).cast("double"), ends["low"], ends["high"]
-    bits = 40                                        # resolution at the low end of the range
-    scaled = F.when(high > low, (x - low) / (high - low)).otherwise(F.lit(0.0)) * float(1 << bits)
-    return hist.withColumn(_B, F.when(F.col(value).isNotNull(), F.floor(
-        F.log2(scaled + 1) * (BUCKETS / bits)).cast("int")))
+def bucketed(hist: DataFrame, value: str, edges: Column) -> DataFrame:
+    """Add the order-keeping range: how many edges are at or below the value
+    (NULL for a NULL value), by halving steps over the sorted edges."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(BUCKETS.bit_length() - 1))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(edges, at + step - 1) <= F.col(value), at + step).otherwise(at))
+    return hist.withColumn(_B, F.when(F.col(value).isNotNull(), below))
 
 
 def rows_before(hist: DataFrame, value: str, weights: tuple[str, ...] = (_W,),
                 ascending: bool = True, nulls_first: bool = False) -> DataFrame:
     """Add, per weight, the total of that weight over histogram rows strictly
     earlier in the order (``_before`` for the row count, ``_before_<w>``)."""
-    tagged = bucketed(hist, value, extent(hist, value))
+    tagged = bucketed(hist, value, quantile_edges(hist, value))
     totals = tagged.groupBy(_B).agg(*[F.sum(c).alias(f"_bt_{c}") for c in weights])
-    # at most BUCKETS + 2 rows: ordering them in one task is bounded
+    # at most BUCKETS + 1 rows: ordering them in one task is bounded
     by_bucket = Window.orderBy(_order(_B, ascending, nulls_first))
     offsets = totals.select(F.col(_B).alias("_ob"), *[_before(f"_bt_{c}", by_bucket).alias(f"_off_{c}")
                                                       for c in weights])
@@ -88,8 +96,7 @@ def with_rank(df: DataFrame, value: str, out: str = "rank", ascending: bool = Fa
     """SQL ``RANK() OVER (ORDER BY value ...)`` added as column ``out`` (INT).
 
     Defaults follow the reference dialect for DESC: NULLs first.  ``df`` is
-    read for the histogram and for the result; where it ends in an exchange
-    (an aggregate) that exchange is reused.
+    read for the histogram and for the result, so give a written table.
     """
     ranks = (rows_before(histogram(df, value), value, (_W,), ascending, nulls_first)
              .select(F.col(value).alias("_rank_value"),
@@ -106,7 +113,7 @@ def percentile_cont(df: DataFrame, value: str, p: float, out: str = "percentile"
     """
     hist = histogram(df, value, drop_nulls=True)
     located = rows_before(hist, value, (_W,), ascending=True)
-    n = extent(hist, value)["rows"]     # the same subquery as the buckets', computed once
+    n = hist.agg(F.sum(_W)).scalar()
     located = located.select(value, BEFORE, _W, ((n - 1).cast("double") * F.lit(float(p))).alias("_pos"))
     lo, hi = F.floor("_pos"), F.ceil("_pos")
     holds = lambda k: (F.col(BEFORE) <= k) & (k < F.col(BEFORE) + F.col(_W))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
+from ..functions.once import once
 from ..functions.ordinal import with_rank
 from ..functions.scalars import month_start
 
@@ -141,10 +142,10 @@ def territory_prescriber_trx(prescriptions: DataFrame, master: DataFrame) -> Dat
 
 def territory_ranking(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
     """Writers and TRx per territory (NULL territory is a group), ranked by TRx."""
-    per_territory = (territory_prescriber_trx(prescriptions, master)
-                     .groupBy("territory_id")
-                     .agg(F.count("hcp_id").alias("writing_hcps"),
-                          F.sum("trx").cast("bigint").alias("total_trx")))
+    per_territory = once(territory_prescriber_trx(prescriptions, master)
+                         .groupBy("territory_id")
+                         .agg(F.count("hcp_id").alias("writing_hcps"),
+                              F.sum("trx").cast("bigint").alias("total_trx")))
     return with_rank(per_territory, "total_trx", out="territory_rank",
                      ascending=False, nulls_first=True)
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..functions.ordinal import _W, BEFORE, before_col, histogram, percentile_cont, rows_before
 from ..functions.scalars import month_start, ratio_or_zero
 from .omni import CHANNELS
@@ -57,7 +58,7 @@ def hcp_retention_rate(prescriptions: DataFrame) -> DataFrame:
 
 def churn_indicators(prescriptions: DataFrame, cfg: ExtensionConfig = EXT) -> DataFrame:
     """Per prescriber: last week, weeks since it at the data end, churn-risk flag."""
-    per_hcp = prescriptions.groupBy("hcp_id").agg(F.max("week").alias("last_week"))
+    per_hcp = once(prescriptions.groupBy("hcp_id").agg(F.max("week").alias("last_week")))
     last = per_hcp.where(F.col("hcp_id").isNotNull())
     weeks = F.floor(F.datediff(F.col("data_end"), F.col("last_week")) / 7).cast("int")
     # the data end is the latest of the per-prescriber weeks, those without an id included
@@ -111,19 +112,33 @@ def territory_promo_vs_trx(exposure: DataFrame) -> DataFrame:
                    ("total_calls", "total_emails_sent", "total_congress_invites", "total_trx")]))
 
 
-def channel_effectiveness(channels: DataFrame, dims: tuple[str, ...] = ()) -> DataFrame:
+def _per_channel(exposure: DataFrame, dims: tuple[str, ...], measures: dict) -> DataFrame:
+    """Aggregates per channel (and ``dims``): channels travel as columns through
+    the aggregate and are unpivoted on its few rows.  ``measures``: name ->
+    aggregate of (reach flag, volume)."""
+    volume = {prefix: F.col(vol).cast("bigint") for _, prefix, vol in CHANNELS}
+    volume["overall"] = sum((F.coalesce(F.col(vol), F.lit(0)) for _, _, vol in CHANNELS), F.lit(0)).cast("bigint")
+    labels = [(label, prefix) for label, prefix, _ in CHANNELS] + [("OVERALL", "overall")]
+    wide = exposure.groupBy(*dims).agg(F.count(F.lit(1)).alias("hcp_months"), *[
+        agg(F.col(f"{prefix}_reach_flag"), volume[prefix]).alias(f"{prefix}__{name}")
+        for _, prefix in labels for name, agg in measures.items()])
+    rows = F.inline(F.array(*[F.struct(F.lit(label).alias("channel"),
+                                       *[F.col(f"{prefix}__{name}").alias(name) for name in measures])
+                              for label, prefix in labels]))
+    return wide.where("hcp_months > 0").select(*dims, "hcp_months", rows)
+
+
+def channel_effectiveness(exposure: DataFrame, dims: tuple[str, ...] = ()) -> DataFrame:
     """Per channel over all HCP-months: TRx per reached HCP-month, writer rate
     reached vs not reached, and a rank.  The rank's window runs over the four
     aggregated channel rows only.  ``dims`` (e.g. the tier) splits all of it,
     the rank included."""
-    reached = F.col("reach_flag") == 1
     writer = F.col("total_trx") > 0
-    per = (channels.groupBy(*dims, "channel")
-           .agg(F.count(F.lit(1)).alias("hcp_months"),
-                F.sum(F.when(reached, 1).otherwise(0)).cast("bigint").alias("reached"),
-                F.sum(F.when(reached, F.col("total_trx")).otherwise(0)).cast("bigint").alias("trx_reached"),
-                F.sum(F.when(reached & writer, 1).otherwise(0)).cast("bigint").alias("writers_reached"),
-                F.sum(F.when(~reached & writer, 1).otherwise(0)).cast("bigint").alias("writers_not_reached")))
+    per = _per_channel(exposure, dims, {
+        "reached": lambda r, _: F.count_if(r == 1),
+        "trx_reached": lambda r, _: F.sum(F.when(r == 1, F.col("total_trx")).otherwise(0)).cast("bigint"),
+        "writers_reached": lambda r, _: F.count_if((r == 1) & writer),
+        "writers_not_reached": lambda r, _: F.count_if((r != 1) & writer)})
     per = per.select(
         *dims, "channel", "hcp_months", "reached", "trx_reached",
         ratio_or_zero("trx_reached", "reached").alias("trx_per_reached"),
@@ -136,6 +151,10 @@ def channel_effectiveness(channels: DataFrame, dims: tuple[str, ...] = ()) -> Da
          .cast("int").alias("effectiveness_rank"))
 
 
+def channel_effectiveness_by_tier(exposure: DataFrame) -> DataFrame:
+    return channel_effectiveness(exposure.withColumnRenamed("tier", "target_type"), ("target_type",))
+
+
 def channel_mix(exposure: DataFrame) -> DataFrame:
     """Per combination of channels that ever reached a prescriber: prescribers,
     writers and TRx.  One aggregate per prescriber, then at most eight rows."""
@@ -173,13 +192,14 @@ def opportunity_territories(exposure: DataFrame) -> DataFrame:
     hcp = (exposure.where(F.col("territory_id").isNotNull())
            .groupBy("territory_id", "hcp_id")
            .agg(F.max("overall_reach_flag").alias("reached"), F.sum("total_trx").alias("trx")))
-    per = (hcp.groupBy("territory_id")
-           .agg(F.count("hcp_id").alias("hcps"),
-                F.count(F.when(F.col("reached") == 1, F.col("hcp_id"))).alias("reached_hcps"),
-                F.sum("trx").cast("bigint").alias("total_trx"))
-           .select("territory_id", "hcps", "reached_hcps", "total_trx",
-                   ratio_or_zero("reached_hcps", "hcps").alias("reach_rate"),
-                   ratio_or_zero("total_trx", "hcps").alias("trx_per_hcp")))
+    # one row a territory, written once for the rows and both medians
+    per = once(hcp.groupBy("territory_id")
+               .agg(F.count("hcp_id").alias("hcps"),
+                    F.count(F.when(F.col("reached") == 1, F.col("hcp_id"))).alias("reached_hcps"),
+                    F.sum("trx").cast("bigint").alias("total_trx"))
+               .select("territory_id", "hcps", "reached_hcps", "total_trx",
+                       ratio_or_zero("reached_hcps", "hcps").alias("reach_rate"),
+                       ratio_or_zero("total_trx", "hcps").alias("trx_per_hcp")))
     # the two medians are scalar subqueries (computed once, inlined)
     median_reach = percentile_cont(per, "reach_rate", 0.5).scalar()
     median_trx = percentile_cont(per, "trx_per_hcp", 0.5).scalar()
@@ -193,7 +213,8 @@ def hcp_concentration(summary: DataFrame) -> DataFrame:
 
     Built on the distributed prefix sums of ``ordinal``: a histogram of the
     totals carries both the count and the TRx of each value, so no window
-    ever spans all prescribers.
+    ever spans all prescribers.  ``summary`` is read for the histogram and for
+    the rows, so give a written table.
     """
     rows = (summary.where(F.col("total_trx").isNotNull())
             .select("hcp_id", "total_trx", F.col("total_trx").alias("_t")))
@@ -209,17 +230,16 @@ def hcp_concentration(summary: DataFrame) -> DataFrame:
             .select("hcp_id", "total_trx", "trx_rank", "cumulative_trx", "cumulative_share"))
 
 
-def engagement_trx_correlation(channels: DataFrame) -> DataFrame:
+def engagement_trx_correlation(exposure: DataFrame) -> DataFrame:
     """Per channel: Pearson correlation of channel volume and TRx over HCP-months
     (rounded to 9 decimals, so engines agree despite summation order)."""
-    return (channels.groupBy("channel")
-            .agg(F.count(F.lit(1)).alias("hcp_months"),
-                 F.round(F.corr(F.col("channel_volume").cast("double"),
-                                F.col("total_trx").cast("double")), 9).alias("volume_trx_corr")))
+    trx = F.col("total_trx").cast("double")
+    return _per_channel(exposure, (), {
+        "volume_trx_corr": lambda _, volume: F.round(F.corr(volume.cast("double"), trx), 9),
+    }).select("channel", "hcp_months", "volume_trx_corr")
 
 
-def from_tables(prescriptions: DataFrame, exposure: DataFrame, channels: DataFrame,
-                summary: DataFrame, affiliated: DataFrame):
+def from_tables(prescriptions: DataFrame, exposure: DataFrame, summary: DataFrame, affiliated: DataFrame):
     """Builders for the refresh job, reusing its already written tables
     (``prescriptions``: rows or the weekly pre-aggregate)."""
     return {
@@ -228,16 +248,16 @@ def from_tables(prescriptions: DataFrame, exposure: DataFrame, channels: DataFra
         "hco_adoption": lambda: hco_adoption(affiliated),
         "hco_growth_segment": lambda: hco_growth_segment(affiliated, prescriptions),
         "territory_promo_vs_trx": lambda: territory_promo_vs_trx(exposure),
-        "channel_effectiveness": lambda: channel_effectiveness(channels),
-        "channel_effectiveness_by_tier": lambda: channel_effectiveness(channels, ("target_type",)),
+        "channel_effectiveness": lambda: channel_effectiveness(exposure),
+        "channel_effectiveness_by_tier": lambda: channel_effectiveness_by_tier(exposure),
         "channel_mix": lambda: channel_mix(exposure),
         "contact_frequency": lambda: contact_frequency(exposure),
         "opportunity_territories": lambda: opportunity_territories(exposure),
         "hcp_concentration": lambda: hcp_concentration(summary),
-        "engagement_trx_correlation": lambda: engagement_trx_correlation(channels),
+        "engagement_trx_correlation": lambda: engagement_trx_correlation(exposure),
     }
 
 
 __all__ = ["ExtensionConfig", "EXT", "hcp_retention_rate", "churn_indicators", "hco_adoption",
-           "hco_growth_segment", "territory_promo_vs_trx", "channel_effectiveness",
+           "hco_growth_segment", "territory_promo_vs_trx", "channel_effectiveness", "channel_effectiveness_by_tier",
            "channel_mix", "contact_frequency", "opportunity_territories", "hcp_concentration", "engagement_trx_correlation"]

@@ -45,8 +45,8 @@ def weekly_trx(prescriptions: DataFrame) -> DataFrame:
     """(hcp_id, territory_id, week, _sum, _n): the HCO chain's one pre-aggregate.
 
     ``_sum`` = TRx, ``_n`` = number of non-NULL TRx values.  Every HCO and
-    territory total below is derived from it, so the prescriptions are read
-    and shuffled once per query.
+    territory total below is derived from it; where a query needs it more than
+    once it is written first, so the prescriptions are read once.
     """
     return (prescriptions.groupBy("hcp_id", "territory_id", "week")
             .agg(F.sum("trx_cnt").alias("_sum"), F.count("trx_cnt").alias("_n")))
@@ -94,7 +94,7 @@ def hco_value_cutoff(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 def high_value_hco(summary: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """Summary + HIGH_VALUE (total >= cut-off) or NORMAL.
 
-    The summary is read for the cut-off and for the rows; both reuse its exchange.
+    The summary is read for the cut-off and for the rows, so give a written table.
     """
     # the cut-off is one value: a scalar subquery, computed once and inlined
     cutoff = hco_value_cutoff(summary, t).scalar()

@@ -108,8 +108,7 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
         H.territory_totals(weekly, i.hcp_master)))
 
     if with_extensions:
-        channels = O.channel_long(exposure)
-        for name, build in X.from_tables(trx, exposure, channels, summary, affiliated).items():
+        for name, build in X.from_tables(trx, exposure, summary, affiliated).items():
             publish(name, build())
     return timings
 

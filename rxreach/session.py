@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 
@@ -50,8 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:      # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+    except PySparkAttributeError:      # Spark Connect has no context: the server's setting applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on the server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rxreach.functions import ordinal
 from rxreach.functions.ordinal import percentile_cont, with_rank
 
 
@@ -60,3 +61,25 @@ def test_percentile_agrees_with_spark_builtin(spark, values):
     ours = percentile_cont(df, "v", 0.75, out="q").collect()[0]["q"]
     builtin = df.agg(F.percentile("v", 0.75).alias("q")).collect()[0]["q"]
     assert ours == pytest.approx(builtin)
+
+
+@pytest.mark.parametrize("values", [
+    # a million values that cluster far from one low outlier, and a long tail
+    "1e12D + id * 1e-3D", "pow(2, id % 1000) + id"])
+def test_ranges_hold_like_shares_however_values_cluster(spark, values):
+    df = spark.range(1_000_000).selectExpr(f"{values} as v").union(spark.sql("select 0.0D as v"))
+    hist = ordinal.histogram(df, "v")
+    rows = ordinal.bucketed(hist, "v", ordinal.quantile_edges(hist, "v")).groupBy("_bucket").count().collect()
+    mean = sum(r["count"] for r in rows) / ordinal.BUCKETS
+    assert max(r["count"] for r in rows) <= 3 * mean
+    lowest = ordinal.with_rank(df, "v", ascending=True, nulls_first=False).where("rank <= 2").orderBy("v").collect()
+    assert [(r["v"], r["rank"]) for r in lowest][0] == (0.0, 1) and lowest[1]["rank"] == 2
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(12,3)", "date"])
+def test_rank_of_other_types(spark, kind):
+    value = "date_add(date'2024-01-01', cast(id * 7 % 50 as int))" if kind == "date" else f"cast(id * 7 % 50 - 20 as {kind})"
+    df = spark.range(120).selectExpr("id", f"if(id % 11 = 0, null, {value}) as v")
+    df.createOrReplaceTempView("ranked_values")
+    want = spark.sql("select id, rank() over (order by v desc nulls first) as rank from ranked_values")
+    assert sorted(with_rank(df, "v").select("id", "rank").collect()) == sorted(want.collect())
