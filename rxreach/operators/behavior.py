@@ -32,6 +32,11 @@ def multiplicity(master: DataFrame) -> DataFrame:
     return master.groupBy("hcp_id").agg(F.count(F.lit(1)).alias("mult"))
 
 
+def given_or(mult: DataFrame | None, master: DataFrame) -> DataFrame:
+    """The written table of multiplicities where there is one."""
+    return multiplicity(master) if mult is None else mult
+
+
 def _times_mult(c: str) -> Column:
     return (F.col(c) * F.coalesce(F.col("mult"), F.lit(1))).cast("bigint")
 
@@ -63,9 +68,9 @@ def _avg(sum_col: str, n_col: str) -> Column:
     return F.when(F.col(n_col) > 0, F.col(sum_col).cast("double") / F.col(n_col).cast("double"))
 
 
-def hcp_summary(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
+def hcp_summary(prescriptions: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
     """Per prescriber: first/last week, weeks active, total and average TRx."""
-    return (_per_prescriber(prescriptions).join(multiplicity(master), "hcp_id", "left")
+    return (_per_prescriber(prescriptions).join(given_or(mult, master), "hcp_id", "left")
             .select("hcp_id", "first_week", "last_week", "weeks_active",
                     _times_mult("_sum").alias("total_trx"),
                     _avg("_sum", "_n").alias("avg_trx")))
@@ -133,16 +138,17 @@ def tier_behavior_matrix(behavior: DataFrame) -> DataFrame:
             .orderBy(F.col("tier").asc_nulls_last(), F.col("writing_pattern").asc_nulls_last()))
 
 
-def territory_prescriber_trx(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
+def territory_prescriber_trx(prescriptions: DataFrame, master: DataFrame,
+                             mult: DataFrame | None = None) -> DataFrame:
     """(territory_id, hcp_id, trx): TRx per territory and prescriber, fan-out applied."""
     return (prescriptions.groupBy("territory_id", "hcp_id").agg(F.sum("trx_cnt").alias("_sum"))
-            .join(multiplicity(master), "hcp_id", "left")
+            .join(given_or(mult, master), "hcp_id", "left")
             .select("territory_id", "hcp_id", _times_mult("_sum").alias("trx")))
 
 
-def territory_ranking(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
+def territory_ranking(prescriptions: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
     """Writers and TRx per territory (NULL territory is a group), ranked by TRx."""
-    per_territory = once(territory_prescriber_trx(prescriptions, master)
+    per_territory = once(territory_prescriber_trx(prescriptions, master, mult)
                          .groupBy("territory_id")
                          .agg(F.count("hcp_id").alias("writing_hcps"),
                               F.sum("trx").cast("bigint").alias("total_trx")))

@@ -149,22 +149,20 @@ def _month_and_ytd(df: DataFrame, dims: list[str], sums: list[str],
 
     As in the reference, the raw rows are summed per month first (partial
     aggregation, one shuffle) and the year level rolls up from those monthly
-    sums; both levels come out of one grouping-sets pass over the small
-    monthly table.  Money columns (DECIMAL) are summed exactly and turned
-    into DOUBLE last.
+    sums.  Both levels hang on the one monthly exchange, which adaptive
+    execution reuses, so no row is expanded.  Money columns (DECIMAL) are
+    summed exactly and turned into DOUBLE last.
     """
     base = df.select(month_start_from_text("month").alias("month_dt"), *dims, *sums) \
              .withColumn("yr", F.year("month_dt").cast("int"))
     keys = ["month_dt", "yr"] + dims
     monthly = base.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
-    agg = grouping_sets(monthly, keys, [["month_dt", "yr"] + dims, ["yr"] + dims],
-                        [F.sum(s).alias(s) for s in sums])
-    month_level = ~rolled(keys, "month_dt")
-    out = [F.when(month_level, F.lit("MONTH")).otherwise(F.lit("YTD")).alias("time_granularity"),
-           F.col("month_dt").alias("period"), *dims]
-    for name, expr in derived.items():
-        out.append(expr.alias(name))
-    return agg.select(*out)
+    yearly = monthly.groupBy("yr", *dims).agg(*[F.sum(s).alias(s) for s in sums])
+    def level(df: DataFrame, label: str, period) -> DataFrame:
+        return df.select(F.lit(label).alias("time_granularity"), period.alias("period"), *dims,
+                         *[expr.alias(name) for name, expr in derived.items()])
+    return level(monthly, "MONTH", F.col("month_dt")).unionByName(
+        level(yearly, "YTD", F.lit(None).cast("date")))
 
 
 def _money(c: str):

@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
 from ..functions.scalars import month_start, ratio
-from .behavior import multiplicity
+from .behavior import given_or
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
 
 
-def hco_base(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
+def hco_base(prescriptions: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
     """Row level: base rows of prescribers with an affiliation (NULL HCO dropped).
 
     The reference joins prescriptions to the master twice (tier, then HCO).
@@ -33,7 +33,7 @@ def hco_base(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
     single join, whose skewed partitions AQE can split.
     """
     pairs = (master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
-             .join(multiplicity(master), "hcp_id", "inner")
+             .join(given_or(mult, master), "hcp_id", "inner")
              .select("hcp_id", "hco_id", F.explode(F.sequence(F.lit(1), F.col("mult"))).alias("_copy")))
     base = prescriptions.select("hcp_id", "territory_id", "week",
                                 month_start("week").alias("month_date"), "trx_cnt")
@@ -58,14 +58,14 @@ def as_prescriptions(weekly: DataFrame) -> DataFrame:
     return weekly.withColumnRenamed("_sum", "trx_cnt")
 
 
-def affiliated_trx(weekly: DataFrame, master: DataFrame) -> DataFrame:
+def affiliated_trx(weekly: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
     """Weighted HCO base: (hcp_id, hco_id, territory_id, week, trx, n).
 
     ``trx`` = TRx of that prescriber-territory-week times the base's
     repetition; ``n`` = number of non-NULL TRx values times the same.
     """
     aff = (master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
-           .join(multiplicity(master), "hcp_id", "inner"))
+           .join(given_or(mult, master), "hcp_id", "inner"))
     return (weekly.join(aff, "hcp_id", "inner")
             .select("hcp_id", "hco_id", "territory_id", "week",
                     (F.col("_sum") * F.col("mult")).cast("bigint").alias("trx"),
@@ -135,11 +135,11 @@ def high_value_hco_territory(affiliated: DataFrame, high_value: DataFrame) -> Da
             .orderBy(F.col("total_trx").desc_nulls_first()))
 
 
-def territory_totals(weekly: DataFrame, master: DataFrame) -> DataFrame:
+def territory_totals(weekly: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
     """TRx per territory of the base (NULL territory is a group), fan-out
     applied to (prescriber, territory) sums."""
     sums = weekly.groupBy("hcp_id", "territory_id").agg(F.sum("_sum").alias("_sum"))
-    return (sums.join(multiplicity(master), "hcp_id", "left")
+    return (sums.join(given_or(mult, master), "hcp_id", "left")
             .groupBy("territory_id")
             .agg(F.sum(F.col("_sum") * F.coalesce(F.col("mult"), F.lit(1))).cast("bigint")
                  .alias("total_trx")))

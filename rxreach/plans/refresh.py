@@ -1,8 +1,10 @@
 """Full refresh: every output table, written in dependency order.
 
 This is the batch job a user runs (the reference's chain of
-``CREATE OR REPLACE TABLE ... AS``).  Each table is written with overwrite
-mode to ``out_dir/<name>``; tables that later tables read (L1 exposure, HCP
+``CREATE OR REPLACE TABLE ... AS``).  Each table is written aside and then put
+in place as ``out_dir/<name>`` (``sources/sink.py``); the tables that are asked
+by prescriber again and again (weekly TRx, master rows per prescriber, L1
+exposure) are bucketed by it.  Tables that later tables read (L1 exposure, HCP
 summary and behaviour, HCO summary, high-value HCOs) are read back from what
 was written, which both reuses them and cuts their lineage — a lost executor
 later in the run recomputes from those files, not from the raw inputs.  The
@@ -13,8 +15,7 @@ Inputs are either the driver's test tables (``--sf-dir``, the fixture
 derivation of ``sources/fixtures.py``) or the user's own eight tables
 (``--inputs name=path_or_table,...``, conformed by ``sources/schemas.py``).
 With ``--database`` each output is also registered as a catalog table
-``<database>.<name>`` over the written files (overwrite = the reference's
-CREATE OR REPLACE).
+``<database>.<name>`` over the written files.
 
 CLI::
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
+import sys
 import time
 import types
 
@@ -37,34 +38,41 @@ from ..operators import channels as C
 from ..operators import extensions as X
 from ..operators import hco as H
 from ..operators import omni as O
-from ..sources import FIXTURES, Inputs, TableInputs
+from ..sources import FIXTURES, Inputs, TableInputs, quality
+from ..sources.sink import Sink
 
 
 def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
-            with_extensions: bool = True, database: str | None = None) -> dict[str, float]:
+            with_extensions: bool = True, database: str | None = None,
+            strict: bool = False) -> dict[str, float]:
     """Write all tables; return seconds per table.
 
+    Duplicate or missing ids of the master are reported on stderr, or raise
+    before any table is built (``strict``).
+
     ``source``: a test-data folder, or ``{input name: parquet path or table}``.
     """
     timings: dict[str, float] = {}
 
-    def publish(name: str, df: DataFrame, work: bool = False) -> DataFrame:
-        path = os.path.join(out_dir, "_work" if work else "", name)
+    sink = Sink(spark, out_dir, database)
+
+    def publish(name: str, df: DataFrame, work: bool = False, by: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
-        writer = df.write.mode("overwrite")
-        if database and not work:
-            writer.option("path", path).saveAsTable(f"{database}.{name}")
-        else:
-            writer.parquet(path)
+        written = sink.publish(name, df, work, by)
         timings[name] = round(time.perf_counter() - t0, 3)
-        return spark.read.parquet(path)
+        return written
 
     # the eight inputs are derived (or conformed) once; every table is built from the files
     given = TableInputs(spark, source) if isinstance(source, dict) else Inputs(spark, source)
     i = types.SimpleNamespace(**{name: publish(f"input_{name}", getattr(given, name), work=True)
                                  for name in FIXTURES})
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # master rows per prescriber: every later table joins these, and they show duplicate ids
+    mult, found = quality.checked_multiplicity(i.hcp_master)
+    mult = publish("master_multiplicity", mult, work=True, by="hcp_id")
+    if any(found().values()):
+        if strict:
+            raise quality.MasterError(found())
+        print(f"hcp_master: {found()}", file=sys.stderr)
 
     # L1 channel rollups
     publish("call_rollup", C.call_rollup(i.calls))
@@ -77,39 +85,40 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
 
     # prescriptions once per (prescriber, territory, week): all tables below but the
     # row-level bases come from it
-    weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True)
+    weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True, by="hcp_id")
     trx = H.as_prescriptions(weekly)
 
     # omni L1 -> L2
     exposure = publish("omni_exposure", O.omni_exposure(
-        i.calls, i.emails, i.congress, trx, i.hcp_master))
+        i.calls, i.emails, i.congress, trx, i.hcp_master), by="hcp_id")
     publish("omni_performance", O.omni_performance(exposure))
 
     # prescriber behaviour
     publish("hcp_writing_analysis", B.hcp_writing_analysis(trx, i.hcp_master))
     publish("trx_base", B.trx_base(i.prescriptions, i.hcp_master))
-    summary = publish("hcp_summary", B.hcp_summary(trx, i.hcp_master))
+    summary = publish("hcp_summary", B.hcp_summary(trx, i.hcp_master, mult))
     publish("monthly_active_hcps", B.monthly_active_hcps(trx))
     publish("cohort_analysis", B.cohort_analysis(summary))
     behavior = publish("hcp_behavior", B.hcp_behavior(summary, i.hcp_master))
     publish("tier_behavior_matrix", B.tier_behavior_matrix(behavior))
-    publish("territory_ranking", B.territory_ranking(trx, i.hcp_master))
+    publish("territory_ranking", B.territory_ranking(trx, i.hcp_master, mult))
     publish("growth_funnel", B.growth_funnel(summary))
 
     # HCO and dependency
-    publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master))
-    affiliated = publish("affiliated_trx", H.affiliated_trx(weekly, i.hcp_master), work=True)
+    publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master, mult))
+    affiliated = publish("affiliated_trx", H.affiliated_trx(weekly, i.hcp_master, mult), work=True)
     hco_sum = publish("hco_summary", H.hco_summary(affiliated))
     high_value = publish("high_value_hco", H.high_value_hco(hco_sum))
     publish("hco_concentration", H.hco_concentration(high_value))
     publish("high_value_hco_territory", H.high_value_hco_territory(affiliated, high_value))
     publish("dependency_risk", H.dependency_risk(
         H.territory_high_value_trx(affiliated, high_value),
-        H.territory_totals(weekly, i.hcp_master)))
+        H.territory_totals(weekly, i.hcp_master, mult)))
 
     if with_extensions:
         for name, build in X.from_tables(trx, exposure, summary, affiliated).items():
             publish(name, build())
+    sink.close()
     return timings
 
 
@@ -125,10 +134,11 @@ def main() -> None:
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="default: what the launcher configured")
     ap.add_argument("--no-extensions", action="store_true")
+    ap.add_argument("--strict", action="store_true", help="stop if the master has duplicate or missing ids")
     a = ap.parse_args()
     source = a.sf_dir or dict(kv.split("=", 1) for kv in a.inputs.split(","))
     spark = build_session(a.master, a.shuffle_partitions)
-    print(json.dumps(refresh(spark, source, a.out, not a.no_extensions, a.database)))
+    print(json.dumps(refresh(spark, source, a.out, not a.no_extensions, a.database, a.strict)))
 
 
 if __name__ == "__main__":

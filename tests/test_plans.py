@@ -45,7 +45,6 @@ def test_status_filter_reaches_parquet(plans):
 
 
 @pytest.mark.parametrize("key", ["call_rollup", "email_rollup", "congress_rollup", "trx_rollup",
-                                 "paid_search_rollup", "display_rollup", "website_rollup",
                                  "omni_performance"])
 def test_rollups_expand_once(plans, key):
     assert len(re.findall(r"\) Expand\b", plans[key])) == 1, key
