@@ -25,6 +25,7 @@ from ..config import DEFAULT, Thresholds
 from ..functions.once import once
 from ..functions.ordinal import with_rank
 from ..functions.scalars import month_start
+from ..functions.spread import spread_join
 
 
 def multiplicity(master: DataFrame) -> DataFrame:
@@ -41,10 +42,12 @@ def _times_mult(c: str) -> Column:
     return (F.col(c) * F.coalesce(F.col("mult"), F.lit(1))).cast("bigint")
 
 
-def trx_base(prescriptions: DataFrame, master: DataFrame) -> DataFrame:
-    """Prescriptions + master tier + month and year (unmapped keep NULL tier)."""
+def trx_base(prescriptions: DataFrame, master: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Prescriptions + master tier + month and year (unmapped keep NULL tier).
+    ``counts``: rows per prescriber, where known."""
     m = master.select("hcp_id", F.col("target_type").alias("tier"))
-    return (prescriptions.join(m, "hcp_id", "left")
+    rows = prescriptions.select("hcp_id", "territory_id", "week", "trx_cnt")
+    return (spread_join(rows, m, "hcp_id", "left", counts)
             .select("hcp_id", "territory_id", "tier", "week",
                     month_start("week").alias("month_date"),
                     F.year("week").cast("int").alias("year_num"), "trx_cnt"))

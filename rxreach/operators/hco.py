@@ -19,25 +19,28 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.ordinal import percentile_cont
 from ..functions.scalars import month_start, ratio
+from ..functions.spread import spread_join
 from .behavior import given_or
 
 HIGH, NORMAL = "HIGH_VALUE", "NORMAL"
 
 
-def hco_base(prescriptions: DataFrame, master: DataFrame, mult: DataFrame | None = None) -> DataFrame:
+def hco_base(prescriptions: DataFrame, master: DataFrame, mult: DataFrame | None = None,
+             counts: DataFrame | None = None) -> DataFrame:
     """Row level: base rows of prescribers with an affiliation (NULL HCO dropped).
 
     The reference joins prescriptions to the master twice (tier, then HCO).
     The same rows come from one join with a master-side table that holds
     each (prescriber, HCO) pair ``mult`` times, so the large side meets a
-    single join, whose skewed partitions AQE can split.
+    single join, which deals a hot prescriber's rows over many tasks
+    (``counts``: rows per prescriber, where known).
     """
     pairs = (master.where(F.col("hco_id").isNotNull()).select("hcp_id", "hco_id")
              .join(given_or(mult, master), "hcp_id", "inner")
              .select("hcp_id", "hco_id", F.explode(F.sequence(F.lit(1), F.col("mult"))).alias("_copy")))
     base = prescriptions.select("hcp_id", "territory_id", "week",
                                 month_start("week").alias("month_date"), "trx_cnt")
-    return (base.join(pairs, "hcp_id", "inner")
+    return (spread_join(base, pairs, "hcp_id", "inner", counts)
                 .select("hcp_id", "hco_id", "territory_id", "week", "month_date", "trx_cnt"))
 
 

@@ -32,6 +32,7 @@ import time
 import types
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import behavior as B
 from ..operators import channels as C
@@ -87,6 +88,8 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
     # row-level bases come from it
     weekly = publish("weekly_trx", H.weekly_trx(i.prescriptions), work=True, by="hcp_id")
     trx = H.as_prescriptions(weekly)
+    # rows per prescriber (those without a TRx value aside): which of them are hot
+    counts = weekly.groupBy("hcp_id").agg(F.sum("_n").alias("n"))
 
     # omni L1 -> L2
     exposure = publish("omni_exposure", O.omni_exposure(
@@ -95,7 +98,7 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
 
     # prescriber behaviour
     publish("hcp_writing_analysis", B.hcp_writing_analysis(trx, i.hcp_master))
-    publish("trx_base", B.trx_base(i.prescriptions, i.hcp_master))
+    publish("trx_base", B.trx_base(i.prescriptions, i.hcp_master, counts))
     summary = publish("hcp_summary", B.hcp_summary(trx, i.hcp_master, mult))
     publish("monthly_active_hcps", B.monthly_active_hcps(trx))
     publish("cohort_analysis", B.cohort_analysis(summary))
@@ -105,7 +108,7 @@ def refresh(spark: SparkSession, source: str | dict[str, str], out_dir: str,
     publish("growth_funnel", B.growth_funnel(summary))
 
     # HCO and dependency
-    publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master, mult))
+    publish("hco_base", H.hco_base(i.prescriptions, i.hcp_master, mult, counts))
     affiliated = publish("affiliated_trx", H.affiliated_trx(weekly, i.hcp_master, mult), work=True)
     hco_sum = publish("hco_summary", H.hco_summary(affiliated))
     high_value = publish("high_value_hco", H.high_value_hco(hco_sum))

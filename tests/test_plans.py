@@ -56,7 +56,7 @@ def test_flagship_has_no_global_window(plans):
 
 
 # these need a derived table more than once and write it while they are built
-WRITES_FIRST = {"territory_ranking", "hco_value_cutoff", "high_value_hco", "hco_concentration",
+WRITES_FIRST = {"trx_base", "hco_base", "territory_ranking", "hco_value_cutoff", "high_value_hco", "hco_concentration",
                 "high_value_hco_territory", "territory_high_value_trx", "dependency_risk",
                 "churn_indicators", "hco_growth_segment", "opportunity_territories", "hcp_concentration"}
 
