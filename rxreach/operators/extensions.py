@@ -117,7 +117,7 @@ def _per_channel(exposure: DataFrame, dims: tuple[str, ...], measures: dict) ->
     the aggregate and are unpivoted on its few rows.  ``measures``: name ->
     aggregate of (reach flag, volume)."""
     volume = {prefix: F.col(vol).cast("bigint") for _, prefix, vol in CHANNELS}
-    volume["overall"] = sum((F.coalesce(F.col(vol), F.lit(0)) for _, _, vol in CHANNELS), F.lit(0)).cast("bigint")
+    volume["overall"] = sum(volume.values(), F.lit(0))
     labels = [(label, prefix) for label, prefix, _ in CHANNELS] + [("OVERALL", "overall")]
     wide = exposure.groupBy(*dims).agg(F.count(F.lit(1)).alias("hcp_months"), *[
         agg(F.col(f"{prefix}_reach_flag"), volume[prefix]).alias(f"{prefix}__{name}")

@@ -206,9 +206,7 @@ def channel_long(exposure: DataFrame) -> DataFrame:
                         F.col(f"{prefix}_engagement_flag").alias("engagement_flag"),
                         F.col(f"{prefix}_deep_engagement_flag").alias("deep_engagement_flag"),
                         volume.cast("bigint").alias("channel_volume"))
-    overall_volume = (F.coalesce(F.col("total_calls"), F.lit(0))
-                      + F.coalesce(F.col("total_emails_sent"), F.lit(0))
-                      + F.coalesce(F.col("total_congress_invites"), F.lit(0)))
+    overall_volume = F.col("total_calls") + F.col("total_emails_sent") + F.col("total_congress_invites")
     entries = [entry(label, prefix, F.col(vol)) for label, prefix, vol in CHANNELS]
     entries.append(entry("OVERALL", "overall", overall_volume))
     return (exposure.select("month", "year", F.col("tier").alias("target_type"), "hcp_id",
@@ -244,9 +242,7 @@ def omni_performance(exposure: DataFrame) -> DataFrame:
     writer = F.col("total_trx") > 0
     volumes = {"calls": F.col("total_calls"), "email": F.col("total_emails_sent"),
                "congress": F.col("total_congress_invites"),
-               "overall": (F.coalesce(F.col("total_calls"), F.lit(0))
-                           + F.coalesce(F.col("total_emails_sent"), F.lit(0))
-                           + F.coalesce(F.col("total_congress_invites"), F.lit(0)))}
+               "overall": F.col("total_calls") + F.col("total_emails_sent") + F.col("total_congress_invites")}
     additive = {"total_trx": F.sum("total_trx")}
     reach = {"total_writers": writer}
     for _, p in L2_CHANNELS:
