@@ -97,8 +97,14 @@ def anchored(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h = mixed(rolled(words, half, B1))
     span = window - half + 1
-    inside = np.lib.stride_tricks.sliding_window_view(h, span)
-    return h, inside.argmin(axis=1) + np.arange(len(h) - span + 1)
+    # hash above, position below: of equal hashes the first is the smallest
+    low = (np.uint64(1) << np.uint64(max(24, len(h).bit_length()))) - np.uint64(1)
+    least, n = h & ~low | np.arange(len(h), dtype=np.uint64), 1
+    while 2 * n <= span:
+        least, n = np.minimum(least[:-n], least[n:]), 2 * n
+    more = span - n
+    least = np.minimum(least[:len(least) - more], least[more:])
+    return h, (least & low).astype(np.int64)
 
 
 def classes_of(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
