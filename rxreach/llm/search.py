@@ -178,8 +178,9 @@ def _search(docs: DataFrame, block: Block, item_ids: DataFrame, top: int) -> Dat
     best = saved(best.withColumn("_k", F.row_number().over(rank)).where(F.col("_k") <= top).drop("_k"))
     wanted = best.select("h", "m", "vec").distinct()
     own = Window.partitionBy("h", "m", "vec").orderBy("low")
-    small = (members.join(wanted, ["h", "m", "vec"], "left_semi")
-                    .withColumn("_k", F.row_number().over(own)).where(F.col("_k") <= top).drop("_k", "low"))
+    # cut to the smallest ids in each map task, so a hot class is few rows when it is shuffled
+    small = (members.withColumn("_k", F.row_number().over(own)).where(F.col("_k") <= top).drop("_k", "low")
+                    .join(wanted, ["h", "m", "vec"], "left_semi"))
     hits = best.drop("low").join(small, ["h", "m", "vec"])
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_first())
     hits = hits.select("item", "doc_id", "score", F.row_number().over(order).alias("rank")).where(F.col("rank") <= top)
