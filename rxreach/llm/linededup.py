@@ -10,15 +10,14 @@ line has two segments; of two lines within one edit, one segment of the shorter
 (or equally long) stands unedited in the other, at its start or at its end, as
 lengths differ by one at most.  So each class files its two segments under
 (segment number, length, hash), and probes with the two substrings that a line
-one code point shorter would have there.  Rows that meet are compared on their
-whole texts by a banded bit-parallel automaton over the three diagonals.
+one code point shorter would have there.  Pairs of classes that meet are
+verified on their whole texts by a banded bit-parallel automaton over the three
+diagonals.
 
-A segment shared by more than ``HOT`` classes would make their square of
-pairs.  There the rest of the line is matched without pairs: all rests of one
-length that are equal without their p-th code point are within one edit of each
-other, and a rest is within one edit of the rests that turn into it by losing a
-code point.  Those are groupings, whose minimum is combined map-side; they find
-exactly the links that comparing all pairs would.
+Comparing all classes that share a segment would make their square of pairs.
+So they are taken on by groupings of what the rest of the line is without one
+code point (``_meetings``): each class is paired with the earliest class of
+each of its groups alone, and those pairs are verified.
 
 Cases: null text has no lines and stays null; empty text is one blank line;
 blank lines (white space only) always stay; lines under ``min_near`` code
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-HOT = 256
+PIECE = 16
 KEY = ["_id", "_th"]
 
 
@@ -73,25 +72,6 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         F.expr("1").bitwiseAND(F.call_function("shiftright", end, at)) == 1)
 
 
-def differing(pairs: DataFrame, x: str, y: str, pieces: int = 16) -> DataFrame:
-    """Pairs (x as long as y or one longer) that may be one edit apart, with
-    what is left of both without ends they share (which changes no distance):
-    all but one of the pieces of y, and a code point, must agree from the two
-    ends.  Plain comparisons leave the automaton few code points to run on."""
-    lx, ly = F.col(x), F.col(y)
-    n, which = F.length(ly), F.lit(None).cast("int")
-    head = lambda k: F.floor(n * k / pieces).cast("int")                                   # noqa: E731
-    tail = lambda k: F.greatest(n - F.ceil(n * (k + 1) / pieces).cast("int") - 1, F.lit(0))
-    for k in reversed(range(pieces)):
-        which = F.when((F.left(lx, head(k)) == F.left(ly, head(k)))
-                       & (F.right(lx, tail(k)) == F.right(ly, tail(k))), k).otherwise(which)
-    def rest(c: Column) -> Column:
-        k = F.col("_k")
-        return F.substring(c, head(k) + 1, F.length(c) - head(k) - tail(k))
-    return (pairs.withColumn("_k", which).where("_k is not null")
-                 .withColumns({x: rest(lx), y: rest(ly)}).drop("_k"))
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("_id"), F.hash("text").alias("_th"),
                        F.split("text", "\n", -1).alias("lines"))
@@ -113,30 +93,40 @@ def _classes(docs: DataFrame, min_near: int) -> DataFrame:
                 .agg(F.min(F.struct(*KEY, "pos")).alias("at"), *sigs).drop("h1", "h2"))
 
 
-def _hot_flags(hot: DataFrame) -> DataFrame:
-    """Class positions that have an earlier near class, among rows that share
-    a hot segment.  hot: key, at, longer (one code point longer than the filed
-    length), rest (the line without the shared segment)."""
-    one = F.posexplode(F.sequence(F.lit(1), F.length("rest")))
-    cut = hot.where("rest <> ''").select("key", "at", "longer", "rest", one.alias("_i", "p")).select(
-        "key", "at", "longer", "p",
-        F.expr("concat(left(rest, p - 1), substring(rest, p + 1))").alias("v"))
-    same = cut.where("not longer").select("at", F.xxhash64("key", F.lit("S"), "p", "v").alias("v1"),
-                                          F.xxhash64(F.lit(1), "key", F.lit("S"), "p", "v").alias("v2"),
-                                          F.lit(False).alias("base"), F.lit(True).alias("all"))
-    lost = cut.where("longer").union(
-        hot.where("not longer").select("key", "at", "longer", F.lit(0), "rest"))
-    lost = lost.select("at", F.xxhash64("key", F.lit("I"), "v").alias("v1"),
-                       F.xxhash64(F.lit(1), "key", F.lit("I"), "v").alias("v2"),
-                       (~F.col("longer")).alias("base"), F.lit(False).alias("all"))
-    rows = same.union(lost)
-    low = rows.groupBy("v1", "v2").agg(F.min(F.when(F.col("base") | F.col("all"), F.col("at"))).alias("low"),
-                                       F.min(F.when(~F.col("base"), F.col("at"))).alias("low_longer"))
-    # a longer line goes for an earlier base; a base for an earlier longer line
-    return (rows.join(low, ["v1", "v2"])
-                .where(F.when(F.col("base"), F.col("low_longer") < F.col("at"))
-                        .otherwise(F.col("low") < F.col("at")))
-                .select("at").distinct())
+def _meetings(met: DataFrame) -> DataFrame:
+    """(at, partner): class positions and an earlier class that may be near,
+    among rows that share a segment.  met: key, at, longer (one code point
+    longer than the filed length), rest (the line without the shared segment).
+
+    A rest is cut into pieces of ``PIECE`` code points (a longer one's own piece
+    holds one more).  Of two rests within one edit all but one piece agree, and
+    in that piece the longer without one code point is the other, or both
+    without their q-th are equal.  Those are groupings, whose minimum is
+    combined map-side: no pairs are made but with the group's earliest line."""
+    size = F.length("rest") - F.col("longer").cast("int")
+    pieces = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(size / PIECE).cast("int") - 1, F.lit(0)))).alias("k")
+    cut = met.select("key", "at", "longer", "rest", pieces)
+    start, width = F.col("k") * PIECE, PIECE + F.col("longer").cast("int")
+    cut = cut.select(
+        "at", "longer", F.substring("rest", start + 1, width).alias("mid"),
+        *[F.xxhash64(F.lit(s), "key", "k", F.left("rest", start), F.substring("rest", start + width + 1, F.length("rest"))).alias(f"o{s}")
+          for s in (1, 2)])
+    def row(kind: str, place, left) -> DataFrame:
+        return F.struct(F.lit(kind).alias("kind"), place.alias("q"), left.alias("v"))
+    without = lambda q: F.concat(F.left("mid", q - 1), F.substring("mid", q + 1, F.length("mid")))
+    every = F.when(F.col("mid") != "", F.sequence(F.lit(1), F.length("mid"))).otherwise(F.array().cast("array<int>"))
+    same = F.transform(every, lambda q: row("same", q, without(q)))
+    longer = F.transform(every, lambda q: row("longer", F.lit(0), without(q)))
+    base = F.array(row("base", F.lit(0), F.col("mid")))
+    rows = cut.select("at", "o1", "o2", F.explode(F.when(F.col("longer"), longer).otherwise(F.concat(same, base))).alias("e"))
+    rows = rows.select("at", "e.kind", *[F.xxhash64(f"o{s}", "e.q", "e.v").alias(f"v{s}") for s in (1, 2)])
+    is_longer = F.col("kind") == "longer"
+    low = rows.groupBy("v1", "v2").agg(
+        F.min(F.when(~is_longer, F.col("at"))).alias("low"), F.min(F.when(is_longer, F.col("at"))).alias("low_longer"),
+        F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    partner = F.when(F.col("kind") == "base", F.col("low_longer")).otherwise(F.col("low"))
+    return (rows.join(low, ["v1", "v2"]).select("at", partner.alias("partner"))
+                .where("partner < at").distinct())
 
 
 def kept_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
@@ -151,12 +141,7 @@ def kept_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
              .select("at", "e.*").where("key is not null"))
     counts = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
                                       F.count(F.when(~F.col("longer"), 1)).alias("bases"))
-    counts = saved(counts.where("n > 1 and bases > 0").select("key", (F.col("n") > HOT).alias("hot")))
-    met = saved(filed.join(counts, "key"))
-    a, b = met.where("not hot").alias("a"), met.where("not hot and not longer").alias("b")
-    pairs = (a.join(b, F.col("a.key") == F.col("b.key"))
-              .where("(a.longer and a.at <> b.at) or (not a.longer and a.at > b.at)")
-              .select(F.col("a.at").alias("x"), F.col("b.at").alias("y")).distinct())
+    met = saved(filed.join(counts.where("n > 1 and bases > 0").select("key"), "key"))
     # texts of the lines that met: one join with the documents
     wanted = met.select(F.col("at._id").alias("_id"), F.col("at._th").alias("_th"),
                         F.col("at.pos").alias("pos"))
@@ -166,18 +151,15 @@ def kept_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
              .select(F.struct(*KEY, "pos").alias("at"), F.get("lines", F.col("pos")).alias("line"))
              .distinct())
     texts = saved(texts)
-    near = pairs.join(texts.select(F.col("at").alias("x"), F.col("line").alias("lx")), "x").join(
-        texts.select(F.col("at").alias("y"), F.col("line").alias("ly")), "y")
-    near = (differing(near, "lx", "ly").where(within(F.col("lx"), F.col("ly"), 1))
-                 .select(F.greatest("x", "y").alias("at")))
     n = F.length("line")
     base = F.when(F.col("longer"), n - 1).otherwise(n)
     half = F.floor(base / 2).cast("int")
-    hot = (met.where("hot").join(texts, "at")
-              .select("key", "at", "longer",
-                      F.when(F.col("seg") == 0, F.right("line", n - half))
-                       .otherwise(F.left("line", n - (base - half))).alias("rest")))
-    gone = near.union(_hot_flags(hot)).distinct()
+    meetings = saved(_meetings(met.join(texts, "at").select(
+        "key", "at", "longer", F.when(F.col("seg") == 0, F.right("line", n - half))
+                                .otherwise(F.left("line", n - (base - half))).alias("rest"))))
+    line = lambda c: texts.select(F.col("at").alias(c), F.col("line").alias(f"l_{c}"))
+    near = meetings.join(line("at"), "at").join(line("partner"), "partner")
+    gone = saved(near.where(within(F.col("l_at"), F.col("l_partner"), 1)).select("at").distinct())
     stay = classes.select("at").join(gone, "at", "left_anti")
     return stay.select("at.*").groupBy(*KEY).agg(F.sort_array(F.collect_list("pos")).alias("kept"))
 

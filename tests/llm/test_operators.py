@@ -332,9 +332,9 @@ def one_edit(a, b):
     return a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:]
 
 
-@pytest.mark.parametrize("hot", [256, 3])
-def test_line_dedup(spark, edge, empty, hot, monkeypatch):
-    monkeypatch.setattr(linededup, "HOT", hot)         # 3: the groupings find what the pairs find
+@pytest.mark.parametrize("piece", [linededup.PIECE, 3])
+def test_line_dedup(spark, edge, empty, piece, monkeypatch):
+    monkeypatch.setattr(linededup, "PIECE", piece)
     rng = np.random.default_rng(6)
     base = ["".join(rng.choice(list("abcdé "), 40)) for _ in range(6)]
     lines = []
@@ -355,7 +355,7 @@ def test_line_dedup(spark, edge, empty, hot, monkeypatch):
         x for j, x in enumerate(t.split("\n")) if not x.strip() or first[x] == (i, j) and x not in gone) for i, t in rows}
     got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
-    if hot > 3:
+    if piece > 3:
         assert linededup.dedup_lines(edge).count() == len(EDGE) and linededup.dedup_lines(empty).count() == 0
 
 
