@@ -21,10 +21,11 @@ rows; extra columns pass through.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pandas as pd
@@ -212,8 +213,8 @@ def _calibrate(m: Model, rows: list[np.ndarray], y: np.ndarray, langs: list) ->
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, seed: int = 5, **options) -> Model | None:
     """A model from at most ``sample`` rows of ``labels`` (doc_id, toxic) and
-    their texts in ``docs``.  Texts become embedding rows on the executors;
-    the driver receives numbers only."""
+    their texts in ``docs``.  Texts become embedding rows on the executors; one
+    task trains on them, and the driver receives the model."""
     chosen = (labels.where("doc_id is not null and toxic is not null")
                     .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
                     .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample))
@@ -230,14 +231,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, seed: int = 5,
                 .mapInPandas(run, "doc_id long, lang string, toxic int, rows binary")
                 # one text per labelled id, however many rows repeat it: the bound holds on the driver
                 .groupBy("doc_id").agg(F.min(F.struct("rows", "lang", "toxic")).alias("r"))
-                .select("doc_id", "r.*").toPandas())
-    if not len(got) or got["toxic"].min() == got["toxic"].max():
-        return None
-    got["rows"] = [bytes(r) for r in got["rows"]]
-    got = got.sort_values(["doc_id", "rows"], kind="stable")
-    y = (got["toxic"].to_numpy() > 0).astype(np.float32)
-    langs = [x if isinstance(x, str) else None for x in got["lang"]]
-    return train([np.frombuffer(r, "<i8") for r in got["rows"]], y, langs, **options)
+                .select("doc_id", "r.*"))
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = pd.concat([pd.DataFrame(columns=["doc_id", "rows", "lang", "toxic"]), *batches])
+        if len(got) and got["toxic"].min() != got["toxic"].max():
+            got["rows"] = [bytes(r) for r in got["rows"]]
+            got = got.sort_values(["doc_id", "rows"], kind="stable")
+            y = (got["toxic"].to_numpy(dtype=float) > 0).astype(np.float32)
+            langs = [x if isinstance(x, str) else None for x in got["lang"]]
+            m = train([np.frombuffer(r, "<i8") for r in got["rows"]], y, langs, **options)
+            # arrays and numbers only: no class of this package has to be known where they are read
+            yield pd.DataFrame({"model": [pickle.dumps([getattr(m, f.name) for f in fields(Model)])]})
+
+    # one task holds the sample (at most ``sample`` rows); the driver gets the 2.6 MB of the model
+    made = got.coalesce(1).mapInPandas(learn, "model binary").first()
+    return None if made is None else Model(*pickle.loads(bytes(made["model"])))
 
 
 def score(docs: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
