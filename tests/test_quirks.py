@@ -10,7 +10,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import ArithmeticException, DateTimeException, SparkRuntimeException
+from pyspark.errors import ArithmeticException
 
 from handmade import Case
 
