@@ -4,15 +4,24 @@ A page is read as a stream of tags and text; block-level tags end a block.
 Pass 1 decides each block by itself: blocks in containers that never hold the
 article (menus, footers, sidebars, forms, notices, adverts, comments) and
 blocks that are mostly links are out; long blocks with enough stop words are
-in; short blocks without links are undecided.  Pass 2 gives an undecided block
-the label of its nearest decided neighbours: both sides' where they agree, in
-where a heading leads to a block that is in or where a block of ordinary prose
-stands between the two.  Where a page marks its article, blocks outside it are
-out and undecided blocks look for neighbours inside it.
+in; short blocks without links and headings, linked or not, are undecided.
+Inside a marked article a paragraph of prose is in however many links it has,
+unless it is one whole link.  Pass 2 gives an undecided block the label of its
+nearest decided neighbours: both sides' where they agree, in where a heading
+leads to a block that is in or where a block of ordinary prose stands between
+the two.  Blocks in barred containers are no neighbours: a short last paragraph
+before a footer goes with the article.
+
+Where a page marks its article, blocks outside it are out and undecided blocks
+look for neighbours inside it; a mark that holds under a quarter of the prose
+outside of it (a teaser) counts for nothing.  Stop words decide only on pages
+where some long block has enough of them: prose in a language without a list
+goes by its length and links.
 
 Class and id names bar by their parts, except names of a state (``no-sidebar``,
-``has-comments``, ``with-social``); a long block of prose with few links and many
-stop words overrules such a name.  A head ends where the body or the first tag
+``has-comments``, ``with-social``); names of what also stands around a text
+(``tags``, ``share``) bar as the first or last part alone (not ``story-tags-body``).
+A long block of prose with few links and many stop words overrules such a name.  A head ends where the body or the first tag
 that can't stand in it begins.  A container that bars by its tag and is never
 closed on the page bars no such prose either.
 
@@ -58,8 +67,10 @@ STOP = frozenset((
     "der die das und ist nicht ein eine zu den mit von auf für im dem sich des auch als wie bei oder aus "
     "le la les de des et un une du en est que qui dans pour pas sur au avec ce il par plus ne se "
     "el los las del y una por con para es se lo su al como más pero o").split())
+AROUND = frozenset("tags related social share sharing recommended notice widget".split())
 STATE = re.compile(r"(?:no|not|non|has|have|with|without)[-_]")
 PROSE, FEW_LINKS, DENSE = 200, 0.1, 0.25   # overrule a name: code points; share of linked text; share of stop words
+TEASER = 4                               # a marked article under 1/4 of the prose outside it is none
 SHORT, LINKS, STOPS = 70, 0.4, 0.12      # code points; share of linked text; share of stop words
 
 
@@ -71,6 +82,14 @@ class Block:
         self.label: bool | None = None
 
 
+def _bars(token: str) -> bool:
+    """Whether a class or id name is that of a container that holds no article."""
+    if STATE.match(token):
+        return False
+    parts = [x for x in re.split(r"[_-]+|(?<=[a-z])\d+", token) if x]
+    return any(x in OUT_NAMES and (x not in AROUND or i in (0, len(parts) - 1)) for i, x in enumerate(parts))
+
+
 def _barred(tag: str, attrs: str, article: bool) -> int:
     """0: not barred; 1: by a name, which prose overrules; 2: by tag, role or as hidden."""
     if tag in OUT or tag == "header" and not article:
@@ -82,8 +101,7 @@ def _barred(tag: str, attrs: str, article: bool) -> int:
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value in OUT_ROLES or name == "aria-hidden" and value == "true":
             return 2
-        if name in ("class", "id") and any(not OUT_NAMES.isdisjoint(re.split(r"[_-]+|(?<=[a-z])\d+", token))
-                                           for token in value.split() if not STATE.match(token)):
+        if name in ("class", "id") and any(map(_bars, value.split())):
             named = 1
     return 2 if " hidden" in attrs.lower().replace("=", " ") and "overflow" not in attrs.lower() else named
 
@@ -165,23 +183,30 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _first_pass(b: Block) -> None:
-    links = b.linked / len(b.text)
-    words = LETTERS.findall(b.text.lower())
-    stops = sum(w in STOP for w in words) / max(1, len(words))
-    if b.out == 1 and len(b.text) >= PROSE and links <= FEW_LINKS and stops >= DENSE:
-        b.out = 0
-    if b.out or links > LINKS:
+def _stops(text: str) -> float:
+    """Share of stop words."""
+    words = LETTERS.findall(text.lower())
+    return sum(w in STOP for w in words) / max(1, len(words))
+
+
+def _first_pass(b: Block, stops: float, listed: bool) -> None:
+    """``listed``: the page's language has a list of stop words."""
+    links, size = b.linked / len(b.text), len(b.text)
+    prose = stops >= STOPS or not listed
+    if b.out:
         b.label = False
-    elif len(b.text) < SHORT:
-        b.label = False if b.linked and links > LINKS / 2 else None
-    elif stops >= STOPS or b.article:
-        b.label = True
-    else:
+    elif b.heading and (links or size < SHORT):
         b.label = None
+    elif links > LINKS:
+        b.label = b.article and links < 1 and size >= SHORT and prose
+    elif size < SHORT:
+        b.label = False if links > LINKS / 2 and not b.article else None
+    else:
+        b.label = True if prose or b.article else None
 
 
 def _second_pass(all_blocks: list[Block], marked: bool) -> None:
+    all_blocks = [b for b in all_blocks if not b.out]
     decided = [b.label for b in all_blocks]
     after, last = [(None, 0)] * len(all_blocks), (None, 0)
     for i in reversed(range(len(all_blocks))):
@@ -206,10 +231,16 @@ def _second_pass(all_blocks: list[Block], marked: bool) -> None:
 def extract(page: str | None) -> str:
     """Main text of a whole page: its blocks that are in, joined by a blank line."""
     found = blocks(page or "")
-    for b in found:
-        _first_pass(b)
+    stops = [_stops(b.text) for b in found]
+    for b, share in zip(found, stops):
+        if b.out == 1 and len(b.text) >= PROSE and b.linked <= FEW_LINKS * len(b.text) and share >= DENSE:
+            b.out = 0
+    listed = any(share >= STOPS and len(b.text) >= SHORT for b, share in zip(found, stops) if not b.out)
+    for b, share in zip(found, stops):
+        _first_pass(b, share, listed)
+    held = {x: sum(len(b.text) for b in found if b.label is not False and b.article is x) for x in (False, True)}
     inside = [b for b in found if b.article and not b.out]
-    marked = bool(inside)
+    marked = bool(inside) and TEASER * held[True] >= held[False]
     if marked:
         found = inside
     _second_pass(found, marked)

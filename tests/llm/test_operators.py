@@ -211,6 +211,54 @@ def test_html_keeps_articles_in_odd_containers():
     assert "Buy" not in html.extract(f"<body><div class='no-sidebar ad'>Buy it now</div>{body}")
 
 
+def test_html_drops_no_article_text():
+    prose = "This is the story of a man and his dog in the town that they came to on the way. " * 4
+    body = f"<p>{prose}</p>"
+    japanese = "これは長い文章です。犬と猫が川のそばを歩いていました。とても静かな夜でした。" * 4
+    portuguese = "Ontem à noite vimos um cão muito grande perto daquela ponte velha onde moramos felizes juntos. " * 3
+    links = "<p>See <a>the report of the group on the matter</a> and <a>the other one that was on it</a> for more.</p>"
+    for page, words in (
+            (f"<article><h2><a href=x>Big title here</a></h2>{body}</article>", "Big title here"),
+            (f"<body><h1><a href=x>Big title here</a></h1>{body}", "Big title here"),
+            (f"<article>{body}{links}{body}</article>", "See the report of the group on the matter and the other"),
+            (f"<body>{body}<p>The end came.</p><footer>Imprint</footer>", "The end came."),
+            (f"<body><div>{body}<p>The end came.</p></div><div class=footer>Imprint</div>", "The end came."),
+            (f"<body><p>{japanese}</p><p>{japanese}</p><footer>Imprint</footer>", japanese),
+            (f"<body><nav><a>x</a></nav><p>{portuguese}</p>", portuguese.strip()),
+            (f"<body><article><a href=x>Read more of this</a></article><div>{body}{body}</div>", prose.strip()),
+            (f"<body><article><h3>Other</h3><p>{prose[:100]}</p></article><div>{body}{body}</div>", prose.strip()),
+            (f"<body><div class='story-tags-body'><p>{prose[:160]}</p></div>{body}", prose[:160].strip())):
+        assert words in html.extract(page), page[:80]
+        assert "Imprint" not in html.extract(page)
+    for name in ("article-tags", "post-share", "related-posts", "comment-body", "sidebar2", "tags"):
+        assert "Dogs" not in html.extract(f"<body><div class={name}><p>Dogs of the town</p></div>{body}"), name
+    assert "Dogs" not in html.extract(f"<body><article><p>Short.</p><p>Shorter.</p></article><div>Dogs of the town</div>")
+    whole = "".join(f"<p>{prose} number {i}</p>" for i in range(3000))           # a long page keeps all of its blocks
+    assert html.extract(f"<body><article>{whole}</article>").count("\n\n") == 2999
+
+
+def test_html_second_pass_against_brute_force():
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        marked = bool(rng.integers(2))
+        page = []
+        for _ in range(rng.integers(1, 12)):
+            b = html.Block("x" * int(rng.choice([10, 100])), 0, bool(rng.integers(2)), int(rng.choice([0, 0, 0, 2])), False)
+            b.label = False if b.out else [None, True, False][rng.integers(3)]
+            page.append(b)
+        want = []
+        for i, b in enumerate(page):
+            near = [[c.label for c in side if c.label is not None and not c.out][:1] for side in (page[i::-1], page[i:])]
+            if b.label is not None:
+                want.append(b.label)
+            elif near[0] and near[1] and near[0] != near[1]:
+                want.append(near[1][0] if b.heading else len(b.text) >= html.SHORT or marked)
+            else:
+                want.append((near[0] + near[1] + [marked])[0])
+        html._second_pass(page, marked)
+        assert [b.label for b in page] == want
+
+
 def test_substrings(docs, edge, empty, spark):
     def brute(rows):
         seen, out = set(), {}
