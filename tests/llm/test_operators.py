@@ -166,6 +166,35 @@ def test_decontamination(spark, edge, empty):
     assert decontam.decontaminate(empty, bench).count() == 0
 
 
+def test_decontamination_of_short_and_unnamed_items(spark, monkeypatch):
+    long = "The quick brown fox jumps over the lazy dog near the quiet river bank at noon today"
+    items = [(1, "Pi is 3.14"), (None, "a null id of an item that is long enough"), (None, None), (3, " \t"), (4, "数学の問題"),
+             (5, long), (6, "pi is 3.14"), (None, "pi is")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["xx PI  is\n3.14.", "pi is 3.141", "epi is 3.14", "here a null id of an item that is long enough!",
+             "これは数学の問題です", f"a {long.replace('quick', 'quack')} b", "pi was 3.14", "", None, "pi is"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("_ITEMS", F.lit("mine"))
+
+    def brute(text, item):
+        t, p = decontam.normal(text), decontam.normal(item)
+        if not p:
+            return None
+        if len(p) >= 25:
+            return decontam.myers(p, t, int(0.06 * len(p)))
+        at = [i for i in range(len(t) - len(p) + 1) if t.startswith(p, i)]
+        edge = lambda a, b: bool(a and b and (a + b).isalnum() and a + b < "\u0e00")
+        return 0 if any(not edge(t[i - 1:i], p[0]) and not edge(p[-1], t[i + len(p):i + len(p) + 1]) for i in at) else None
+
+    want = {k: sorted(((i, d) for i, p in items if (d := brute(t, p)) is not None), key=str) for k, t in enumerate(texts)}
+    assert want[0] and want[3] and want[4] and want[5] and want[1] == [(None, 0)] and not want[2] and not want[6]
+    for size in (decontam.BLOCK_CHARS, 30):                    # all items in one block; nearly one block each
+        monkeypatch.setattr(decontam, "BLOCK_CHARS", size)
+        got = {r["doc_id"]: sorted((tuple(x) for x in r["items"]), key=str) for r in decontam.with_items(df, bench).collect()}
+        assert got == want
+    clean = decontam.decontaminate(df, bench)
+    assert clean.columns == df.columns and {(r["doc_id"], r["_ITEMS"]) for r in clean.collect()} == {(k, "mine") for k, w in want.items() if not w}
+
+
 def test_toxicity(spark, edge, empty):
     rng = np.random.default_rng(4)
     words = [f"{a}{b}n" for a in "bcdfgl" for b in "aeiou"]
