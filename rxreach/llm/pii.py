@@ -9,23 +9,33 @@ The protected entities are the values found.  The corpus estimates how strongly
 a term (a word of any length; in scripts without spaces each two neighbouring
 characters) reveals an entity in whose document it stands, at any distance.
 With N, n(e), n(t) and n(e, t) distinct texts, all four counted over whole texts,
-
-    disclosure = PMI(e; t) / IC(e) = ln(P(e|t) / P(e)) / ln(1 / P(e)),
-    P(e) = n(e) / N,  P(e|t) = (n(e,t) + P(e)) / (n(t) + 1):
-
-one more text with t, in which e is as likely as anywhere, stands for what the
-corpus has not shown.  It is near 1 where the term never occurs without the
-entity (ln 2 / ln N less for one text), about 0 for ordinary words; no number of
-texts is asked for.  At ``threshold`` or more the term is a span in the texts
-that hold that entity, outside base spans: of kind ``general`` (it is replaced by
-its class), or of kind ``remove`` at ``certain`` or more.  Documents without an
-entity get none.  An entity that every text holds carries no information and
-reveals nothing.  The kind of a value is not protected: its class is published.
-
-Pairs that could not reach the threshold if the entity stood wherever the term
-does are dropped before they are made; that loses none.
-Counts are combined map-side; the pairs are looked up in joins that adaptive
-execution splits; of texts without an entity only the words are shuffled.
+P(e) = n(e) / N and q a cautious estimate of P(e|t), the disclosure is the share
+of the entity's information that the term gives away,
+
+    disclosure = KL(q || P(e)) / ln(1 / P(e)), 0 where q <= P(e).
+
+It is near q for a rare entity, whatever N is.  q is the higher of two bounds:
+
+* the lower end of Wilson's interval of n(e, t) among n(t) (``Z`` deviations):
+  one text tells little, as each rare word of a text stands in no other; three
+  texts that share a value and a word tell more than the threshold;
+* (n(b, t) + P(e)) / (n(t) + 1), where n(b, t) counts texts in which t stands
+  beside the value (its start within ``REACH`` code points of it) and one more
+  text, in which e is as likely as anywhere, stands for what the corpus has not
+  shown: that a rare word stands just there by chance is unlikely, so one text does.
+
+At ``threshold`` or more the term is a span in the texts that hold that entity,
+outside base spans: of kind ``general`` (it is replaced by its class), or of kind
+``remove`` at ``certain`` or more.  Documents without an entity get none.  An
+entity that every text holds carries no information and reveals nothing.  The
+kind of a value is not protected: its class is published.
+
+Disclosure is never above q, so terms that could not reach the threshold if
+the most frequent entity stood wherever they do go before anything is paired,
+and pairs that could not before they are counted; that loses none.  Entities of the same texts are one class: a list of addresses
+is paired with a text's terms once.  Terms beside values are met by cells of
+``REACH`` code points.  Counts are combined map-side; of texts without an entity
+only the words are shuffled.
 
 Cases: null and empty texts have no spans; rows equal in text count as one
 document and each gets its result; null doc_id is an id like another;
@@ -60,6 +70,9 @@ WORD = rf"(?<![\p{{N}}]|{LETTER}){LETTER}++(?!\p{{N}})"
 PAIRS = (rf"{UNSPACED}{{2}}|(?<!{UNSPACED}){UNSPACED}(?!{UNSPACED})", rf"(?<={UNSPACED}){UNSPACED}{{2}}")
 TEXT = ["_t", "_th"]
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
+REACH = 40          # code points
+Z = 1.64            # deviations of the lower bound: one-sided 95 %
+SALT = 8            # a term's occurrences meet its counts in so many parts
 
 
 def places(text: Column, pattern: str) -> Column:
@@ -137,42 +150,86 @@ def _places(texts: DataFrame) -> DataFrame:
              .select(*TEXT, F.lower("x.value").alias("term"), (F.col("end") - n).alias("start"), "end"))
 
 
-def find(docs: DataFrame, threshold: float = 0.8, certain: float = 0.95) -> DataFrame:
+def wilson(k: Column, n: Column) -> Column:
+    """Lower end of Wilson's interval of a share k / n."""
+    share, z2 = k / n, Z * Z
+    spread = Z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))
+    return (share + z2 / (2 * n) - spread) / (1 + z2 / n)
+
+
+def disclosure(q: Column, p: Column) -> Column:
+    """Share of the information ln(1 / p) that raising p to q gives away."""
+    told = q * F.log(q / p) + (1 - q) * F.log((1 - q) / F.nullif(1 - p, F.lit(0.0)))
+    return F.when((q > p) & (p < 1), told / F.nullif(-F.log(p), F.lit(0.0))).otherwise(F.lit(0.0))
+
+
+def _beside(places: DataFrame, spans: DataFrame) -> DataFrame:
+    """(text, class, term) where the term starts within ``REACH`` code points of
+    a value of the class.  A value is filed in the cells it reaches, so a text
+    of many values and words pairs neighbours alone."""
+    cell = lambda at: F.floor(at / REACH).cast("int")
+    reach = spans.select(*TEXT, "class", "start", "end", F.explode(F.sequence(
+        cell(F.col("start") - REACH), cell(F.col("end") + REACH))).alias("cell"))
+    at = places.select(*TEXT, "term", F.col("start").alias("at"), cell(F.col("start")).alias("cell"))
+    return (at.join(reach, [*TEXT, "cell"]).where("at between start - {0} and end + {0}".format(REACH))
+              .select(*TEXT, "class", "term").distinct())
+
+
+def find(docs: DataFrame, threshold: float = 1 / 3, certain: float = 0.8) -> DataFrame:
     """doc_id, _th (hash of the text), base and spans for every row of ``docs``."""
     d = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"))
     d = d.select("_id", *_keys(F.col("text")), "text", base_spans(F.col("text")).alias("base"))
     base = saved(d.withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
     held = base.where(F.size("base") > 0)
     once = saved(held.dropDuplicates(TEXT).drop("_id"))
-    terms = once.select(*TEXT, F.explode(_words(F.col("text"))).alias("term"))
     total = F.lit(float(base.select(*TEXT).distinct().count()))
-    owns = once.select(*TEXT, F.explode("base").alias("s")).select(
-        *TEXT, F.xxhash64("s.kind", "s.value").alias("entity")).distinct()
-    own = owns.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    values = once.select(*TEXT, F.explode("base").alias("s")).select(
+        *TEXT, F.xxhash64("s.kind", "s.value").alias("entity"), "s.start", "s.end")
+    # entities that stand in the same texts are one class
+    own = values.select(*TEXT, "entity").distinct().groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_e"), *[F.sum(F.xxhash64(F.lit(k), *TEXT).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)])
+    own = own.select("entity", "n_e", F.xxhash64("n_e", "s1", "s2").alias("class"))
+    spans = saved(values.join(own, "entity").select(*TEXT, "class", "n_e", "start", "end"))
+    classes = spans.select(*TEXT, "class", "n_e").distinct()
+    most = spans.agg(F.max("n_e")).scalar()
     # equal texts are one; their words, not the texts, are shuffled
     words = docs.select(F.col("text").cast("string").alias("text"))
     words = words.select(*_keys(F.col("text")), _words(F.col("text")).alias("words")).dropDuplicates(TEXT)
     words = (words.select(F.explode("words").alias("term"))
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-
-    def disclosure(n_et: Column) -> Column:
-        p = F.col("n_e") / total
-        return 1 + F.log((n_et + p) / (F.col("n_t") + 1)) / F.nullif(-F.log(p), F.lit(0.0))
-
-    seen = terms.join(words, "term")
-    beside = saved(seen.join(owns.join(own, "entity"), TEXT)
-                       .where(disclosure(F.least("n_t", "n_e")) >= threshold))
-    telling = (beside.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et"))
-                     .withColumn("disclosure", disclosure(F.col("n_et"))).where(F.col("disclosure") >= threshold)
-                     .select("entity", "term", (F.lit(len(KINDS)) + (F.col("disclosure") >= certain).cast("int")).alias("kind")))
+                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where((F.col("n_t") + 1) * threshold <= most + 1))
+    salt = F.pmod(F.col("_th"), F.lit(SALT)).cast("int")
+    words = words.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALT)))))
+    terms = once.select(*TEXT, salt.alias("salt"), F.explode(_words(F.col("text"))).alias("term"))
+    seen = saved(terms.join(words, ["term", "salt"]).drop("salt"))
+    places = saved(_places(once).join(seen, [*TEXT, "term"]))
+    # a term beside a value in one text may stand far from it in another
+    of = classes.drop("n_e")
+    beside = (_beside(places, spans).join(seen, [*TEXT, "term"]).join(classes, [*TEXT, "class"])
+              .where((F.col("n_t") + 1) * threshold <= F.col("n_e") + 1).select(*TEXT, "class", "term"))
+    beside = saved(beside)
+    both = beside.select("class", "term").distinct().join(seen.drop("n_t"), "term").join(of, [*TEXT, "class"])
+    flag = lambda pairs, b: pairs.select(*TEXT, "class", "term", F.lit(b).alias("b"))
+    # far from a value: only terms and classes that can reach the threshold are paired
+    can = lambda n_e: wilson(F.least("n_t", n_e), F.col("n_t")) >= threshold
+    top = classes.groupBy(*TEXT).agg(F.max("n_e").alias("top"))
+    far = seen.join(top, TEXT).where(can("top")).drop("top").join(classes, TEXT).where(can("n_e"))
+    met = saved(flag(beside, 1).union(flag(both, 0)).union(flag(far, 0))
+                .groupBy(*TEXT, "class", "term").agg(F.max("b").alias("b")))
+    counts = met.groupBy("class", "term").agg(F.count(F.lit(1)).alias("n_et"), F.sum("b").alias("n_bt"))
+    counts = (counts.join(classes.select("class", "n_e").distinct(), "class")
+                    .join(seen.select("term", "n_t").distinct(), "term"))
+    p = F.col("n_e") / total
+    q = F.greatest(wilson(F.col("n_et"), F.col("n_t")), (F.col("n_bt") + p) / (F.col("n_t") + 1))
+    telling = (counts.withColumn("disclosure", disclosure(q, p)).where(F.col("disclosure") >= threshold)
+                     .select("class", "term", (F.lit(len(KINDS)) + (F.col("disclosure") >= certain).cast("int")).alias("kind")))
     # a word that reveals two entities is one span: its stronger kind
-    told = beside.join(telling, ["entity", "term"]).groupBy(*TEXT, "term").agg(F.max("kind").alias("kind"))
-    spans = (_places(once).join(told, [*TEXT, "term"])
+    told = met.join(telling, ["class", "term"]).groupBy(*TEXT, "term").agg(F.max("kind").alias("kind"))
+    found = (places.join(told, [*TEXT, "term"])
                           .groupBy(*TEXT).agg(F.sort_array(F.collect_list(F.struct(
                               "kind", "start", "end", F.col("term").alias("value")))).alias("terms")))
     none = F.expr(f"cast(array() as {SPAN})")
     outside = F.filter("terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    out = held.join(spans, TEXT, "left").select("_id", "_th", "base", F.coalesce(outside, none).alias("terms"))
+    out = held.join(found, TEXT, "left").select("_id", "_th", "base", F.coalesce(outside, none).alias("terms"))
     out = out.union(base.where(F.size("base") <= 0).select("_id", "_th", "base", none))
     return out.select(F.col("_id").alias("doc_id"), "_th", "base", F.concat("base", "terms").alias("spans"))
 

@@ -4,6 +4,7 @@ empty tables."""
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from pathlib import Path
@@ -400,6 +401,78 @@ def test_pii_counts_rows_once_and_a_value_everywhere_tells_nothing(spark):
     assert told(spark, rows) == {i: set() for i in range(5)}
 
 
+def brute_terms(rows, threshold=1 / 3, certain=0.8):
+    """{doc_id: {term: kind}} by the docstring, all pairs of all texts."""
+    held = {i: [(m.group(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", t)]
+            for i, t in rows}
+    terms = {i: [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"(?<!\w)[a-z]+(?!\w)", t, re.I)] for i, t in rows}
+    n, out = len(rows), {i: {} for i, _ in rows}
+    for e in {v for h in held.values() for v, _, _ in h}:
+        of_e = {i for i in held if any(v == e for v, _, _ in held[i])}
+        p = len(of_e) / n
+        for t in {x for i in of_e for x, _, _ in terms[i]}:
+            of_t = {i for i in terms if any(x == t for x, _, _ in terms[i])}
+            nt, net = len(of_t), len(of_t & of_e)
+            nbt = sum(any(x == t and v == e and b - pii.REACH <= a <= c + pii.REACH for x, a, _ in terms[i] for v, b, c in held[i])
+                      for i in of_t)
+            z, share = pii.Z, net / nt
+            low = (share + z * z / (2 * nt) - z * math.sqrt(share * (1 - share) / nt + z * z / (4 * nt * nt))) / (1 + z * z / nt)
+            q = max(low, (nbt + p) / (nt + 1))
+            told = 0 if q <= p or p == 1 else (q * math.log(q / p) + (1 - q) * math.log((1 - q) / (1 - p))) / -math.log(p)
+            if told >= threshold:
+                for i in of_t & of_e:
+                    places = [(a, b) for x, a, b in terms[i] if x == t]
+                    if any(all(b <= c or d <= a for _, c, d in held[i]) for a, b in places):
+                        out[i][t] = max(out[i].get(t, 0), 4 + (told >= certain))
+    return out
+
+
+def test_pii_disclosure_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in "nrst"]
+    share = 1 / np.arange(1, len(words) + 1)
+    rows = []
+    for i in range(240):
+        t = list(rng.choice(words, int(rng.integers(3, 60)), p=share / share.sum()))
+        for _ in range(int(rng.integers(0, 3)) if i % 3 == 0 else 0):
+            at = int(rng.integers(len(t) + 1))
+            t[at:at] = ["z" + "".join(chr(97 + int(d)) for d in str(i)), f"u{int(rng.integers(25))}@site.org"]
+        if i % 20 == 0:                 # a name far from a value that recurs
+            t = ["Kowalski"] + ["ban"] * 30 + t + ["hot@site.org"]
+        rows.append((i, " ".join(map(str, t)) + f" {i}"))
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"), certain=0.55).collect()
+    got = {r["doc_id"]: {s["value"]: s["kind"] for s in r["spans"] if s["kind"] >= 4} for r in found}
+    want = brute_terms(rows, certain=0.55)
+    assert got == want and all("kowalski" in want[i] for i in range(0, 240, 20))
+    assert {k for w in want.values() for k in w.values()} == {4, 5}
+
+
+@pytest.mark.parametrize("size", [400, 3200])
+def test_pii_finds_planted_names_and_leaves_rare_words(spark, size):
+    """Names planted beside one-text values, and names far from values that
+    recur; every text has words of its own."""
+    rng = np.random.default_rng(size)
+    name = lambda i: "Zo" + "".join(chr(97 + int(d)) for d in f"{i:05d}")
+    own = lambda i, k: "q" + "".join(chr(97 + int(d)) for d in f"{i:05d}{k:02d}")
+    rows, planted = [], {}
+    for i in range(size):
+        t = [own(i, k) if rng.random() < 0.1 else f"{'abcdefgh'[int(rng.integers(8))]}word" for k in range(100)]
+        if i % 20 == 0:
+            t[50:50] = ["by", name(i), f"m{i}@one.org"]
+            planted[i] = name(i)
+        elif i % 20 == 1:
+            t = [name(90_000 + i // 100)] + t + [f"g{i // 100}@one.org"]
+            planted[i] = name(90_000 + i // 100)
+        rows.append((i, " ".join(t)))
+    got = told(spark, rows)
+    beside = [i for i in planted if i % 20 == 0]
+    assert sum(planted[i] in got[i] for i in beside) == len(beside)
+    far = [i for i in planted if i % 20 == 1]
+    assert sum(planted[i] in got[i] for i in far) >= 0.9 * len(far)
+    flagged = sum(len(got[i] - {planted[i]}) for i in planted)
+    assert flagged < 0.02 * sum(len(t.split()) for i, t in rows if i in planted), flagged
+
+
 def one_edit(a, b):
     if len(a) > len(b):
         a, b = b, a
