@@ -195,11 +195,12 @@ def find(docs: DataFrame, threshold: float = 1 / 3, certain: float = 0.8) -> Dat
     # equal texts are one; their words, not the texts, are shuffled
     words = docs.select(F.col("text").cast("string").alias("text"))
     words = words.select(*_keys(F.col("text")), _words(F.col("text")).alias("words")).dropDuplicates(TEXT)
-    words = (words.select(F.explode("words").alias("term"))
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where((F.col("n_t") + 1) * threshold <= most + 1))
-    salt = F.pmod(F.col("_th"), F.lit(SALT)).cast("int")
-    words = words.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALT)))))
-    terms = once.select(*TEXT, salt.alias("salt"), F.explode(_words(F.col("text"))).alias("term"))
+    terms = once.select(*TEXT, F.explode(_words(F.col("text"))).alias("term"))
+    words = (words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+                  .join(terms.select("term").distinct(), "term").where((F.col("n_t") + 1) * threshold <= most + 1))
+    # written before it is repeated: the shuffles of all words end here
+    words = saved(words).withColumn("salt", F.explode(F.array(*map(F.lit, range(SALT)))))
+    terms = terms.withColumn("salt", F.pmod(F.col("_th"), F.lit(SALT)).cast("int"))
     seen = saved(terms.join(words, ["term", "salt"]).drop("salt"))
     places = saved(_places(once).join(seen, [*TEXT, "term"]))
     # a term beside a value in one text may stand far from it in another
