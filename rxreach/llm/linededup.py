@@ -1,33 +1,40 @@
 """Line deduplication: segment-partition edit join [native].
 
 A line goes when an earlier line of the corpus (by doc_id, then row hash, then
-line number) is equal to it or within one edit of it (code points).  Equal
-lines collapse first: a class is known by a 128-bit hash and its first
-occurrence, and every later occurrence goes.
-
-Near lines are found by threshold-plus-one segments.  With one edit allowed a
-line has two segments; of two lines within one edit, one segment of the shorter
-(or equally long) stands unedited in the other, at its start or at its end, as
-lengths differ by one at most.  So each class files its two segments under
-(segment number, length, hash), and probes with the two substrings that a line
-one code point shorter would have there.  Pairs of classes that meet are
-verified on their whole texts by a banded bit-parallel automaton over the three
-diagonals.
+line number) is equal to it or near it.  How many edits (code points) are near
+grows with the length of the shorter line: ``edits_from`` lists the lengths
+from which one, two, three ... are allowed.  Equal lines collapse first: a
+class is known by a 128-bit hash and its first occurrence, and every later
+occurrence goes.
+
+Near lines are found by threshold-plus-one segments.  A line with t edits
+allowed files t + 1 segments under (length, segment number, hash), and probes
+for each length that a near line no longer than itself may have, with its
+substrings about where that line's segments would stand: of two near lines at
+least one segment of the shorter stands unedited in the other, shifted by no
+more than the edits to its left or to its right allow.  Classes that meet and
+agree in enough of ``t + EXTRA`` small pieces are verified on their whole texts
+by a banded bit-parallel automaton over 2t + 1 diagonals.
 
 Comparing all classes that share a segment would make their square of pairs.
-So they are taken on by groupings of what the rest of the line is without one
-code point (``_meetings``): each class is paired with the earliest class of
-each of its groups alone, and those pairs are verified.
+With one edit allowed they are taken on by groupings of what the rest of the
+line is without one code point (``_meetings``): each class is paired with the
+earliest class of each of its groups alone.  With more edits every class first
+meets the earliest class filed under its segment; those not decided by that are
+compared within groups of up to ``GROUP``, and the members of larger groups
+file and probe again by two segments of t + 2, of which two near lines share at
+least two, where the same two steps follow, the second in groups of any size.
 
 Cases: null text has no lines and stays null; empty text is one blank line;
-blank lines (white space only) always stay; lines under ``min_near`` code
-points match by equality alone; rows equal in doc_id and text count as one
-document and each gets its result; null doc_id orders first; no rows give no
-rows; extra columns pass through ``dedup_lines`` untouched.
+blank lines (white space only) always stay; lines shorter than the first of
+``edits_from`` match by equality alone; rows equal in doc_id and text count as
+one document and each gets its result; null doc_id orders first; no rows give
+no rows; extra columns pass through ``dedup_lines`` untouched.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,41 +42,49 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
+#: An edit is allowed from 16 code points on, two from 64, three from 256.
+EDITS_FROM = (16, 64, 256)
 PIECE = 16
+GROUP = 32
+EXTRA = 5
 KEY = ["_id", "_th"]
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
-    """True where the edit distance of strings a and b is at most threshold.
+    """True where the edit distance of strings a and b is at most threshold (up to 4).
 
     Bit d of the word for e errors says that the prefix of a read so far and
     the prefix of b that ends ``d - threshold`` code points further are within
     e edits: 2 * threshold + 1 diagonals of the table, advanced together for
-    each code point of a."""
-    chars = [F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)) for x in (a, b)]
-    band, mask = 2 * threshold + 1, (1 << (2 * threshold + 1)) - 1
-
-    def step(acc: Column, x: Column) -> Column:
-        i, bs = acc["i"], acc["b"]
-        match = reduce(lambda m, d: m.bitwiseOR(
-            F.when((i + (d - threshold) >= 0) & F.coalesce(F.get(bs, i + (d - threshold)) == x, F.lit(False)),
-                   F.lit(1 << d)).otherwise(0)), range(band), F.lit(0))
-        now: list[Column] = []
-        for e in range(threshold + 1):
-            r = acc[f"r{e}"].bitwiseAND(match)
-            if e:
-                old = acc[f"r{e - 1}"]
-                r = r.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(now[e - 1], 1))
-            now.append(r.bitwiseAND(F.lit(mask)))
-        return F.struct((i + 1).alias("i"), bs.alias("b"), *[r.alias(f"r{e}") for e, r in enumerate(now)])
+    each code point of a.  The words of all e stand side by side in one long."""
+    if not 0 <= threshold <= 4:
+        raise ValueError("the words of more than 4 edits do not fit a long")
+    read, other = [F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)).alias(c) for x, c in ((a, "a"), (b, "b"))]
+    band = 2 * threshold + 1
+    mask = F.lit((1 << band) - 1).cast("long")
+
+    def equal(other: Column, x: Column, i: Column) -> Column:
+        return reduce(lambda m, d: m.bitwiseOR(F.when(F.get(other, i + (d - threshold)) == x, F.lit(1 << d)).otherwise(0)),
+                      range(band), F.lit(0)).cast("long")
+
+    def step(words: Column, match: Column) -> Column:
+        word = lambda e: F.shiftright(words, e * band).bitwiseAND(mask)
+        now = [word(0).bitwiseAND(match)]
+        for e in range(1, threshold + 1):
+            old = word(e - 1)
+            now.append(word(e).bitwiseAND(match).bitwiseOR(old).bitwiseOR(F.shiftright(old, 1))
+                       .bitwiseOR(F.shiftleft(now[e - 1], 1)).bitwiseAND(mask))
+        return reduce(lambda x, e: x.bitwiseOR(F.shiftleft(now[e], e * band)), range(1, threshold + 1), now[0])
 
     # before any code point of a: k code points of b cost k edits
-    start = F.struct(F.lit(0).alias("i"), chars[1].alias("b"), *[
-        F.lit(sum(1 << (threshold + k) for k in range(e + 1))).alias(f"r{e}") for e in range(threshold + 1)])
-    end = F.aggregate(chars[0], start, step, lambda acc: acc[f"r{threshold}"])
+    start = sum(sum(1 << (threshold + k) for k in range(e + 1)) << (e * band) for e in range(threshold + 1))
+    # one element, so that both texts are cut once and not for each code point
+    ends = F.transform(F.array(F.struct(read, other)), lambda p: F.aggregate(
+        F.transform(p["a"], lambda x, i: equal(p["b"], x, i)), F.lit(start).cast("long"), step))
+    end = F.get(ends, F.lit(0))
     at = F.length(b) - F.length(a) + threshold
     return F.when((at < 0) | (at >= band), F.lit(False)).otherwise(
-        F.expr("1").bitwiseAND(F.call_function("shiftright", end, at)) == 1)
+        F.shiftright(end, threshold * band).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at)) != 0)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -77,20 +92,116 @@ def _lines(docs: DataFrame) -> DataFrame:
                        F.split("text", "\n", -1).alias("lines"))
 
 
-def _classes(docs: DataFrame, min_near: int) -> DataFrame:
-    """One row per distinct line that is not blank: first occurrence and, for
-    lines long enough, the hashes of its own and its probing segments."""
+def _classes(docs: DataFrame, least: int) -> DataFrame:
+    """One row per distinct line that is not blank: first occurrence and, from
+    ``least`` code points on, the line."""
     rows = _lines(docs).select(*KEY, F.posexplode("lines").alias("pos", "line")).where(
         F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return (rows.select(*KEY, "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+                        F.when(F.length("line") >= least, F.col("line")).alias("line"))
+                .groupBy("h1", "h2").agg(F.min(F.struct(*KEY, "pos")).alias("at"), F.first("line").alias("line"))
+                .drop("h1", "h2"))
+
+
+def _allowed(n: Column, edits_from: Sequence[int]) -> Column:
+    return reduce(lambda k, least: k + (n >= least).cast("int"), edits_from, F.lit(0))
+
+
+def _piece(line: Column, m: Column, parts: Column | int, i: Column | int, shift: Column | int) -> Column:
+    """Where the i-th of ``parts`` even pieces of a line of m code points would
+    stand in ``line`` if it were shifted (the last pieces hold one more)."""
+    parts, i = [F.lit(x) if isinstance(x, int) else x for x in (parts, i)]
+    size, short = F.floor(m / parts).cast("int"), parts - m % parts
+    start = i * size + F.greatest(F.lit(0), i - short)
+    return F.substring(line, start + shift + 1, size + (i >= short).cast("int"))
+
+
+def _places(t: int, d: int, segments: int) -> list[tuple[int, int, int, int]]:
+    """(i, s, j, u): the i-th segment of a line with t edits allowed may stand
+    shifted by s in one d code points longer; of two segments also the j-th by u."""
+    if segments == 1:
+        return [(i, s, 0, 0) for i in range(t + 1)
+                for s in range(max(-i, d - t + i), min(i, d + t - i) + 1)]
+    # an insertion counts to the segment it stands before, or to the last
+    shifts, last = range(-t, t + 1), t + 1
+    return [(i, s, j, u) for j in range(t + 2) for i in range(j) for s in shifts for u in shifts
+            if abs(s) + abs(u - s) + abs(d - u) <= t
+            and (i or not s) and (j < last or u == d) and (j > i + 1 or u == s)]
+
+
+def _filed(classes: DataFrame, edits_from: Sequence[int], segments: int) -> DataFrame:
+    """(key, at, t, seg, longer, base): the segments of each class (``base``)
+    and the substrings it probes with, by their hash; t edits are allowed."""
     n = F.length("line")
-    half, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    sig = lambda seg, length, part: F.xxhash64(F.lit(seg), length, part)
-    own = [sig(0, n, F.left("line", half)), sig(1, n, F.right("line", n - half))]
-    probe = [sig(0, n - 1, F.left("line", less)), sig(1, n - 1, F.right("line", n - 1 - less))]
-    sigs = [F.max(F.when(n >= min_near, s)).alias(f"s{i}") for i, s in enumerate(own)]
-    sigs += [F.max(F.when(n > min_near, s)).alias(f"p{i}") for i, s in enumerate(probe)]
-    return (rows.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-                .agg(F.min(F.struct(*KEY, "pos")).alias("at"), *sigs).drop("h1", "h2"))
+
+    def codes(d: int) -> Column:
+        t, found = _allowed(n - d, edits_from), F.expr("cast(array() as array<int>)")
+        for k in range(max(segments, d), len(edits_from) + 1):
+            packed = [((((k * 16 + d) * 16 + i) * 16 + s + 8) * 16 + j) * 16 + u + 8 for i, s, j, u in _places(k, d, segments)]
+            found = F.when(t == k, F.expr(f"array({', '.join(map(str, packed))})")).otherwise(found)
+        return found
+
+    rows = classes.where("line is not null").select(
+        "at", "line", n.alias("n"), F.explode(F.concat(*[codes(d) for d in range(len(edits_from) + 1)])).alias("e"))
+    t, d, i, s, j, u = [F.shiftright("e", 4 * b).bitwiseAND(F.lit(15)) for b in (5, 4, 3, 2, 1, 0)]
+    s, u, m = s - 8, u - 8, F.col("n") - d
+    found = [_piece(F.col("line"), m, t + segments, i, s)]
+    if segments == 2:
+        found.append(_piece(F.col("line"), m, t + segments, j, u))
+    return rows.select(F.xxhash64(m, i, j, *found).alias("key"), "at", t.alias("t"), i.alias("seg"),
+                       (d > 0).alias("longer"), ((d == 0) & (s == 0) & (u == 0)).alias("base"))
+
+
+def _met(classes: DataFrame, edits_from: Sequence[int], segments: int) -> DataFrame:
+    """The rows of ``_filed`` whose key several rows have, a base among them,
+    with the size of that group and the line."""
+    rows = _filed(classes, edits_from, segments)
+    keys = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("base"), 1)).alias("bases"))
+                     .where("n > 1 and bases > 0").select("key", "n"))
+    return saved(saved(rows.join(keys, "key")).join(classes, "at"))
+
+
+def _alike(short: Column, long: Column, t: Column) -> Column:
+    """False only if more than t edits lie between: t edits leave all but t of
+    any pieces of ``short`` standing in ``long``, shifted by t at most."""
+    n, parts = F.length(short), t + EXTRA
+    size, longer = F.floor(n / parts).cast("int"), parts - n % parts
+
+    def stands(i: Column) -> Column:
+        start = i * size + F.greatest(F.lit(0), i - longer) - t
+        around = F.substring(long, F.greatest(start, F.lit(0)) + 1, size + 1 + 2 * t + F.least(start, F.lit(0)))
+        return F.contains(around, _piece(short, n, parts, i, 0))
+
+    return F.size(F.filter(F.sequence(F.lit(0), parts - 1), stands)) >= parts - t
+
+
+def _verified(pairs: DataFrame, most: int) -> DataFrame:
+    """(at): the later class of each pair (a, b, t) that is within t edits.
+    a, b: (at, line), the line of a no longer than that of b."""
+    once = (pairs.where(_alike(F.col("a.line"), F.col("b.line"), F.col("t")))
+                 .groupBy("a.at", F.col("b.at").alias("b_at"))
+                 .agg(F.first("a.line").alias("short"), F.first("b.line").alias("long"), F.first("t").alias("edits")))
+    near = once.where(reduce(lambda found, k: F.when(F.col("edits") == k, within(F.col("short"), F.col("long"), k)).otherwise(found),
+                             range(1, most + 1), F.lit(False)))
+    return saved(near.select(F.greatest("at", "b_at").alias("at")).distinct())
+
+
+def _gone(met: DataFrame, most: int, whole: bool) -> DataFrame:
+    """(at): classes near an earlier one that shares a key; of groups over
+    ``GROUP`` rows only what their first base decides, unless ``whole``."""
+    row = F.struct("at", "line")
+    first = met.where("base").groupBy("key").agg(F.min(row).alias("a"))
+    longer = F.length("b.line") >= F.length("a.line")
+    pairs = met.select("key", "t", row.alias("b")).join(first, "key").where((F.col("a.at") != F.col("b.at")) & longer)
+    gone = _verified(pairs, most)
+    left = met if whole else met.where(F.col("n") <= GROUP)
+    left = left.join(gone.withColumn("gone", F.lit(True)), "at", "left")
+    side = lambda c: [row.alias(c), F.col("gone").isNull().alias(f"{c}_open")]
+    pairs = left.where("base").select("key", "t", *side("a")).join(left.select("key", "base", *side("b")), "key")
+    later = F.col("b.at") > F.col("a.at")
+    pairs = pairs.where((F.col("a.at") != F.col("b.at")) & longer & (later | ~F.col("base"))
+                        & F.when(later, F.col("b_open")).otherwise(F.col("a_open")))
+    return gone.union(_verified(pairs, most))
 
 
 def _meetings(met: DataFrame) -> DataFrame:
@@ -129,37 +240,34 @@ def _meetings(met: DataFrame) -> DataFrame:
                 .where("partner < at").distinct())
 
 
-def kept_lines(docs: DataFrame, min_near: int = 16) -> DataFrame:
-    """(_id, _th, kept): ascending numbers of the lines that stay because they
-    are the first of their class and near no earlier class.  Documents without
-    such a line are absent; blank lines are not listed."""
-    classes = saved(_classes(docs, min_near))
-    def row(s, longer, seg):
-        return F.struct(F.col(s).alias("key"), F.lit(longer).alias("longer"), F.lit(seg).alias("seg"))
-    filed = (classes.where("s0 is not null").select("at", F.explode(F.array(
-                 row("s0", False, 0), row("s1", False, 1), row("p0", True, 0), row("p1", True, 1))).alias("e"))
-             .select("at", "e.*").where("key is not null"))
-    counts = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                      F.count(F.when(~F.col("longer"), 1)).alias("bases"))
-    met = saved(filed.join(counts.where("n > 1 and bases > 0").select("key"), "key"))
-    # texts of the lines that met: one join with the documents
-    wanted = met.select(F.col("at._id").alias("_id"), F.col("at._th").alias("_th"),
-                        F.col("at.pos").alias("pos"))
-    wanted = wanted.groupBy(*KEY).agg(F.collect_set("pos").alias("want"))
-    texts = (_null_safe(_whole(_lines(docs)), wanted, "inner")
-             .select(*KEY, "lines", F.explode("want").alias("pos"))
-             .select(F.struct(*KEY, "pos").alias("at"), F.get("lines", F.col("pos")).alias("line"))
-             .distinct())
-    texts = saved(texts)
+def _gone_by_one(met: DataFrame) -> DataFrame:
+    """(at): classes within one edit of an earlier one that shares a segment."""
     n = F.length("line")
     base = F.when(F.col("longer"), n - 1).otherwise(n)
     half = F.floor(base / 2).cast("int")
-    meetings = saved(_meetings(met.join(texts, "at").select(
+    meetings = saved(_meetings(met.select(
         "key", "at", "longer", F.when(F.col("seg") == 0, F.right("line", n - half))
                                 .otherwise(F.left("line", n - (base - half))).alias("rest"))))
-    line = lambda c: texts.select(F.col("at").alias(c), F.col("line").alias(f"l_{c}"))
-    near = meetings.join(line("at"), "at").join(line("partner"), "partner")
-    gone = saved(near.where(within(F.col("l_at"), F.col("l_partner"), 1)).select("at").distinct())
+    texts = met.select("at", "line").distinct()
+    line = lambda c: texts.select(F.col("at").alias(c), F.struct("at", "line").alias(f"l_{c}"))
+    both = meetings.join(line("at"), "at").join(line("partner"), "partner")
+    ends = F.when(F.length("l_at.line") <= F.length("l_partner.line"), F.struct(F.col("l_at").alias("a"), F.col("l_partner").alias("b"))
+                  ).otherwise(F.struct(F.col("l_partner").alias("a"), F.col("l_at").alias("b")))
+    return _verified(both.select(ends.alias("e")).select("e.*", F.lit(1).alias("t")), 1)
+
+
+def kept_lines(docs: DataFrame, edits_from: Sequence[int] = EDITS_FROM) -> DataFrame:
+    """(_id, _th, kept): ascending numbers of the lines that stay because they
+    are the first of their class and near no earlier class.  Documents without
+    such a line are absent; blank lines are not listed."""
+    classes, most = saved(_classes(docs, edits_from[0])), len(edits_from)
+    met = _met(classes, edits_from, 1)
+    gone = _gone_by_one(met.where("t = 1"))
+    if most > 1:
+        more = met.where("t > 1")
+        gone = gone.union(_gone(more, most, whole=False))
+        hot = saved(more.where(F.col("n") > GROUP).select("at", "line").distinct())
+        gone = gone.union(_gone(_met(hot, edits_from, 2), most, whole=True))
     stay = classes.select("at").join(gone, "at", "left_anti")
     return stay.select("at.*").groupBy(*KEY).agg(F.sort_array(F.collect_list("pos")).alias("kept"))
 
@@ -176,10 +284,10 @@ def _whole(docs: DataFrame) -> DataFrame:
     return docs.hint("merge")
 
 
-def dedup_lines(docs: DataFrame, min_near: int = 16, counts: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits_from: Sequence[int] = EDITS_FROM, counts: bool = True) -> DataFrame:
     """``docs`` with the lines that stay as ``text``, plus n_lines, n_removed
     (in place of columns so named; without ``counts`` neither)."""
-    kept = saved(kept_lines(docs, min_near))
+    kept = saved(kept_lines(docs, edits_from))
     # the other columns travel in one struct, so their names clash with nothing
     d = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), F.col("doc_id").alias("_id"),
                     F.hash("text").alias("_th"), F.split("text", "\n", -1).alias("_lines"))

@@ -189,20 +189,35 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 OP10 = r"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                   unnest(range(0, len(string_split(text, chr(10))))) AS p FROM documents WHERE text IS NOT NULL),
 f AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS full_ FROM l),
-c AS (SELECT line, length(line) AS n, min({'d': doc_id, 'p': p}) AS at FROM f WHERE full_ GROUP BY line),
-m AS (SELECT a.line AS x, a.n AS nx, a.at AS ax, b.line AS y, b.n AS ny, b.at AS ay
-      FROM c a JOIN c b ON a.n >= 16 AND b.n >= 16 AND left(a.line, b.n // 2) = left(b.line, b.n // 2)
-        AND a.n - b.n IN (0, 1) AND a.line <> b.line
-      UNION
-      SELECT a.line, a.n, a.at, b.line, b.n, b.at
-      FROM c a JOIN c b ON a.n >= 16 AND b.n >= 16 AND right(a.line, b.n - b.n // 2) = right(b.line, b.n - b.n // 2)
-        AND a.n - b.n IN (0, 1) AND a.line <> b.line),
-near AS (SELECT CASE WHEN ax > ay THEN x ELSE y END AS line FROM m
-         WHERE CASE WHEN nx = ny THEN len(list_filter(range(1, nx + 1), lambda i: x[i] <> y[i])) <= 1
-                    ELSE len(list_filter(range(1, nx + 1), lambda i: left(x, i - 1) || substr(x, i + 1) = y)) > 0 END),
+c AS (SELECT line, length(line) AS n, min({'d': doc_id, 'p': p}) AS at, regexp_extract_all(line, '(?s).') AS x,
+             row_number() OVER (ORDER BY line) AS id FROM f WHERE full_ GROUP BY line),
+-- segment i of a line of m code points, t edits allowed, looked for up to t places off in lines up to t longer
+g AS (SELECT c.*, m, t, i, s, i * (m // (t + 1)) + greatest(0, i - (t + 1 - m % (t + 1))) + s AS p0,
+             m // (t + 1) + CASE WHEN i >= t + 1 - m % (t + 1) THEN 1 ELSE 0 END AS w
+      FROM (SELECT c.*, n - d AS m, (n - d >= 16)::INT + (n - d >= 64)::INT + (n - d >= 256)::INT AS t, d
+            FROM c, range(0, 4) AS r(d)) AS c, range(0, 4) AS ri(i), range(-3, 4) AS rs(s)
+      WHERE t > 0 AND d <= t AND i <= t AND abs(s) <= t),
+k AS (SELECT id, n, m, t, i, s, substr(line, p0 + 1, w) AS seg FROM g WHERE p0 >= 0 AND p0 + w <= n),
+met AS (SELECT DISTINCT a.id AS a, b.id AS b, a.t FROM k a JOIN k b USING (m, i, seg)
+        WHERE a.n = m AND a.s = 0 AND a.id <> b.id AND (b.n > a.n OR b.id > a.id)),
+-- code points read of both lines after e edits, with all that is equal from there on
+walk(a, b, t, e, i, j) AS (
+  SELECT a, b, t, 0, q, q FROM (SELECT met.*, coalesce(nullif(list_position(
+      list_transform(range(1, least(ca.n, cb.n) + 1), lambda z: ca.x[z] = cb.x[z]), false), 0) - 1, least(ca.n, cb.n)) AS q
+    FROM met JOIN c ca ON ca.id = met.a JOIN c cb ON cb.id = met.b) AS met
+  UNION
+  SELECT a, b, t, e + 1, i + q, j + q FROM (
+    SELECT w.a, w.b, w.t, w.e, w.i + o.di AS i, w.j + o.dj AS j, coalesce(nullif(list_position(
+      list_transform(range(1, least(ca.n - w.i - o.di, cb.n - w.j - o.dj) + 1),
+                     lambda z: ca.x[w.i + o.di + z] = cb.x[w.j + o.dj + z]), false), 0) - 1,
+      least(ca.n - w.i - o.di, cb.n - w.j - o.dj)) AS q
+    FROM walk w JOIN c ca ON ca.id = w.a JOIN c cb ON cb.id = w.b, (VALUES (1, 1), (1, 0), (0, 1)) AS o(di, dj)
+    WHERE w.e < w.t AND w.i + o.di <= ca.n AND w.j + o.dj <= cb.n)),
+near AS (SELECT CASE WHEN ca.at > cb.at THEN ca.line ELSE cb.line END AS line
+         FROM walk JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b WHERE i = ca.n AND j = cb.n),
 stay AS (SELECT c.at.d AS doc_id, c.at.p AS p FROM c ANTI JOIN near ON c.line = near.line),
 kept AS (SELECT f.doc_id, count(*) AS n, string_agg(f.line, chr(10) ORDER BY f.p) AS t
          FROM f LEFT JOIN stay ON f.doc_id = stay.doc_id AND f.p = stay.p

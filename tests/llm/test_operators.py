@@ -473,48 +473,94 @@ def test_pii_finds_planted_names_and_leaves_rare_words(spark, size):
     assert flagged < 0.02 * sum(len(t.split()) for i, t in rows if i in planted), flagged
 
 
-def one_edit(a, b):
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1:
-        return False
-    k = next((i for i, c in enumerate(a) if c != b[i]), len(a))
-    return a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:]
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(left[j] + 1, row[-1] + 1, left[j - 1] + (x != y)))
+    return row[-1]
 
 
-@pytest.mark.parametrize("piece", [linededup.PIECE, 3])
-def test_line_dedup(spark, edge, empty, piece, monkeypatch):
-    monkeypatch.setattr(linededup, "PIECE", piece)
-    rng = np.random.default_rng(6)
-    base = ["".join(rng.choice(list("abcdé "), 40)) for _ in range(6)]
-    lines = []
-    for b in base:
-        for _ in range(12):
-            k, c = int(rng.integers(0, 40)), str(rng.choice(list("xyzé")))
-            lines.append(str(rng.choice([b, b[:k] + c + b[k + 1:], b[:k] + b[k + 1:], b[:k] + c + b[k:]])))
-    rng.shuffle(lines)
-    rows = [(i, "\n".join(lines[4 * i:4 * i + 4]) + ("\n\n" if i % 3 else "")) for i in range(18)]
-    rows += [(50, None), (51, ""), (52, " \n\t")]
+def line_dedup_by_hand(rows, edits_from):
     first = {}
     for i, t in rows:
         for j, line in enumerate(t.split("\n") if t else []):
             if line.strip(" \t\n\r\x0b\x0c"):
                 first.setdefault(line, (i, j))
-    gone = {x for x in first for y in first if first[y] < first[x] and min(len(x), len(y)) >= 16 and one_edit(x, y)}
-    want = {i: None if t is None else "\n".join(
+    allowed = lambda x, y: sum(min(len(x), len(y)) >= n for n in edits_from)
+    gone = {x for x in first for y in first if first[y] < first[x] and abs(len(x) - len(y)) <= allowed(x, y)
+            and 0 < allowed(x, y) >= edits(x, y)}
+    return gone, {i: None if t is None else "\n".join(
         x for j, x in enumerate(t.split("\n")) if not x.strip() or first[x] == (i, j) and x not in gone) for i, t in rows}
-    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def edited(rng, line, times):
+    for _ in range(times):
+        k, c = int(rng.integers(0, len(line))), str(rng.choice(list("xyzé\U0001F600")))
+        line = str(rng.choice([line[:k] + c + line[k + 1:], line[:k] + line[k + 1:], line[:k] + c + line[k:]]))
+    return line
+
+
+# groups of every size by the first step alone, by pairs, and by two segments
+@pytest.mark.parametrize("edits_from, piece, group", [((16,), 3, 32), ((16, 24, 36), 16, 32), ((16, 24, 36), 3, 2),
+                                                      ((20, 30), 16, 0)])
+def test_line_dedup(spark, edge, empty, edits_from, piece, group, monkeypatch):
+    monkeypatch.setattr(linededup, "PIECE", piece)
+    monkeypatch.setattr(linededup, "GROUP", group)
+    rng = np.random.default_rng(6)
+    lines = []
+    for n in (15, 18, 22, 25, 29, 34, 38, 44, 60):
+        base = "".join(rng.choice(list("abcdé "), n))
+        lines += [edited(rng, base, int(rng.integers(0, 5))) for _ in range(14)]
+        # a start that many different lines share
+        lines += [edited(rng, "a common start, " * 2 + "".join(rng.choice(list("ab"), max(n - 32, 3))), int(rng.integers(0, 3))) for _ in range(8)]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[4 * i:4 * i + 4]) + ("\n\n" if i % 3 else "")) for i in range(len(lines) // 4 + 1)]
+    rows += [(500, None), (501, ""), (502, " \n\t")]
+    gone, want = line_dedup_by_hand(rows, edits_from)
+    assert len(gone) > 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(df, edits_from).collect()}
     assert got == want
-    if piece > 3:
+    if group == 32:
         assert linededup.dedup_lines(edge).count() == len(EDGE) and linededup.dedup_lines(empty).count() == 0
 
 
+def test_pieces_that_lines_share(spark):
+    """Lines within t edits are always alike; of two segments, some place holds both."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for t in (1, 2, 3):
+        for _ in range(120):
+            a = "".join(rng.choice(list("abc"), rng.integers(16, 40)))
+            b = edited(rng, a, t)
+            rows.append((t, *sorted((a, b), key=len)))
+    df = spark.createDataFrame(rows, "t int, a string, b string")
+    for t in (1, 2, 3):
+        assert not df.where(F.col("t") == t).where(~linededup._alike(F.col("a"), F.col("b"), F.lit(t))).count()
+
+    def cut(m, parts, i):
+        size, short = m // parts, parts - m % parts
+        start = i * size + max(0, i - short)
+        return start, start + size + (i >= short)
+    for t, a, b in rows:
+        for segments in (1, 2):
+            if t < segments or len(b) - len(a) > t:
+                continue
+            def stands(i, s):
+                x, y = cut(len(a), t + segments, i)
+                return x + s >= 0 and b[x + s:y + s] == a[x:y]
+            assert any(stands(i, s) and (segments == 1 or stands(j, u))
+                       for i, s, j, u in linededup._places(t, len(b) - len(a), segments)), (t, a, b)
+
+
 def test_edit_automaton(spark):
     rng = np.random.default_rng(8)
     pairs = [("".join(rng.choice(list("ab"), rng.integers(0, 7))), "".join(rng.choice(list("ab"), rng.integers(0, 7))))
              for _ in range(300)]
     df = spark.createDataFrame(pairs, "a string, b string")
-    for k in (1, 2):
+    for k in (1, 2, 3):
         bad = df.where(linededup.within(F.col("a"), F.col("b"), k) != (F.levenshtein("a", "b") <= k)).count()
         assert not bad
 
