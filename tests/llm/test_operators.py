@@ -590,3 +590,40 @@ def test_pipeline(spark):
         assert stage(spark, docs.limit(0), SF).columns == docs.columns
     leaks = [r["doc_id"] for r in queries.op4_decontamination(spark, SF).where("contaminated").collect()]
     assert not {r["doc_id"] for r in out.collect()} & set(leaks)
+
+
+def test_lines_of_a_group_meet_few_times(spark):
+    """Many lines with one beginning, none near another: none is verified."""
+    rng = np.random.default_rng(11)
+    same = "a long beginning that all of these lines have in common, word by word " * 4
+    rows = [(i, same + "".join(rng.choice(list("abcdefghij klmnop"), 90))) for i in range(200)]
+    classes = linededup._classes(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    met, _ = linededup._met_by_windows(classes, linededup.EDITS_FROM)
+    assert met.where(F.col("n") > linededup.GROUP).count() > 200
+    a, b = [met.select("key", F.struct("at", "size", "bag").alias(c)) for c in "ab"]
+    pairs = a.join(b, "key").where("a.at < b.at")
+    assert pairs.count() > 19000 and not pairs.where(linededup._apart(F.col("a.bag"), F.col("b.bag")) <= 6 + 3).count()
+
+
+def test_few_rows_a_line(spark):
+    """A line files and probes 2, 5 or 8 windows, however many lengths are near."""
+    rows = [(i, "".join(np.random.default_rng(i).choice(list("abcdef"), n))) for i, n in enumerate((70, 100, 240, 300, 700))]
+    classes = linededup._classes(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    assert linededup._windows(classes, linededup.EDITS_FROM).count() == 3 * 5 + 2 * 8
+
+
+def test_counts_and_trimming_lose_no_near_line(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for t in (1, 2, 3):
+        for _ in range(80):
+            a = "".join(rng.choice(list("eta in,x"), rng.integers(16, 90)))
+            rows.append((t, *sorted((a, edited(rng, a, t)), key=len)))
+    df = spark.createDataFrame(rows, "t int, short string, long string")
+    a, b = [linededup._counted(df.select("t", F.monotonically_increasing_id().alias("k"), F.col(c).alias("line"))) for c in ("short", "long")]
+    both = a.alias("a").join(b.alias("b"), F.col("a.k") == F.col("b.k"))
+    far = linededup._apart(F.col("a.bag"), F.col("b.bag")) > 2 * F.col("a.t") + F.col("b.size") - F.col("a.size")
+    assert not both.where(far).count()
+    cut = linededup._trimmed(df.withColumns({"x": F.col("short"), "y": F.col("long")}))
+    assert not cut.where(F.levenshtein("short", "long") != F.levenshtein("x", "y")).count()
+    assert cut.where(F.length("short") < F.length("x")).count() > 200
