@@ -213,6 +213,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame
     # the row travels in one struct, so its columns' names clash with nothing
     out = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
                       F.hash("text").alias("_th"))
-    out = out.join(stay, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")))
+    # sorted merge at every size, so a job on little data has the plan of one on much
+    out = out.hint("merge").join(stay, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")))
     again = out.where("_n > 1").dropDuplicates(["_id", "_th"])
     return out.where("_n = 1").unionByName(again).select("_row.*")

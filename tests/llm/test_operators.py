@@ -627,3 +627,8 @@ def test_counts_and_trimming_lose_no_near_line(spark):
     cut = linededup._trimmed(df.withColumns({"x": F.col("short"), "y": F.col("long")}))
     assert not cut.where(F.levenshtein("short", "long") != F.levenshtein("x", "y")).count()
     assert cut.where(F.length("short") < F.length("x")).count() > 200
+
+
+def test_one_of_each_joins_alike_at_every_size(spark, edge):
+    plan = simhash.one_of_each(edge)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
