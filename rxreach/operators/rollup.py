@@ -12,12 +12,15 @@ Distinct counts (``COUNT(DISTINCT CASE WHEN cond THEN entity END)``) are done
 in two aggregates: first per (level keys, entity) with max(cond) flags, then
 the flags are summed per level.  That needs one extra small shuffle but no
 second Expand per distinct expression, and it stays skew-safe: the first step
-is keyed by the entity, the second step combines map-side.
+is keyed by the entity, the second step combines map-side.  The flags of an
+entity travel as the bits of one long: as columns of their own they would be
+over half of each row that the first step holds in memory and shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,15 +56,18 @@ def grouping_sets_with_reach(df: DataFrame, dims: Sequence[str],
     values with at least one row meeting it in the level.
     Returns ``_gid``, the ``dims`` (NULL where rolled up) and the measures.
     """
-    keys = list(dims) + [entity]
+    keys, conds = list(dims) + [entity], list(reach.values())
+    # 63 flags to a long; the sign is left alone
+    bits = [reduce(Column.bitwiseOR, [F.when(cond, F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint")
+                                      for k, cond in enumerate(conds[at:at + 63])])
+            for at in range(0, len(conds), 63)]
     per_entity = (df.groupingSets([list(s) + [entity] for s in sets], *keys)
                     # the entity is the last, never rolled-up key: drop its bit
                     .agg(F.shiftright(F.grouping_id(), 1).alias(GID),
                          *[agg.alias(n) for n, agg in additive.items()],
-                         *[F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0))).alias(n)
-                           for n, cond in reach.items()]))
+                         *[F.bit_or(b).alias(f"_flags{k}") for k, b in enumerate(bits)]))
     has_entity = F.col(entity).isNotNull()
     return (per_entity.groupBy(GID, *dims)
             .agg(*[F.sum(n).alias(n) for n in additive],
-                 *[F.sum(F.when(has_entity, F.col(n)).otherwise(F.lit(0))).cast("bigint").alias(n)
-                   for n in reach]))
+                 *[F.sum(F.when(has_entity, F.shiftright(f"_flags{k // 63}", k % 63).bitwiseAND(F.lit(1))).otherwise(F.lit(0)))
+                    .cast("bigint").alias(n) for k, n in enumerate(reach)]))

@@ -98,3 +98,9 @@ def test_inputs_keep_every_row(spark):
     i = Inputs(spark, SF001)
     for name, table in (("hcp_master", "customer"), ("prescriptions", "lineitem"), ("display", "events")):
         assert getattr(i, name).count() == spark.read.parquet(tables.path(SF001, table)).count()
+
+
+def test_reach_flags_travel_in_one_column(spark):
+    from rxreach.plans import catalog
+    plan = catalog.build(spark, "/root/testdata/sf0.001", "omni_performance")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_flags0" in plan and "max(CASE" not in plan
